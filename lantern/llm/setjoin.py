@@ -13,6 +13,7 @@ A text's set is its distinct n-word shingles, as 64-bit hashes; two texts link w
 4. Set-relation skipping, by answer: the symmetric difference with the leader, |x - l|, is now known for each member.
    Members already in one component need no comparison; for the others ||x - l| - |y - l|| <= |x - y| <= (1 - t) /
    (1 + t) (|x| + |y|) must hold, so a set's answers follow from the leader's and only what is left is verified.
+   Before any set is fetched, parity bits (one for each shingle or so) bound |x - y| from below.
 5. Components of all links.
 
 Shuffles carry packed arrays, and a set's shingles only where a list holds it. Nothing is capped.
@@ -39,7 +40,6 @@ from lantern.llm.components import components
 WORDS, PERCENT = 5, 75
 #: Counters of the sketch, and bits of the filter of sets to fetch; both are fixed, whatever the input.
 SKETCH, SLICE, FILTER = 1 << 20, 1 << 14, 1 << 23
-PAIRS = "a long, b long, na int, nb int"
 
 
 def shingles(buf: np.ndarray, offs: np.ndarray, n: int) -> Iterator[np.ndarray]:
@@ -63,6 +63,25 @@ def digest(s: np.ndarray) -> int:
     return int(textvec.mix(textvec.mix(both[:1]) + both[1:]).view(np.int64)[0])
 
 
+def parity(s: np.ndarray) -> bytes:
+    """Bits that tell whether an odd number of shingles falls on each; two sets' bits differ in |x - y| places at most."""
+    width = max(256, min(1 << 16, 1 << max(0, len(s) - 1).bit_length()))
+    return np.packbits((np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).astype(bool), bitorder="little").tobytes()
+
+
+def folded(x: np.ndarray, width: int) -> np.ndarray:
+    """Rows of parity bits as if made for fewer bytes."""
+    while x.shape[-1] > width:
+        half = x.shape[-1] // 2
+        x = x[..., :half] ^ x[..., half:]
+    return x
+
+
+def may_link(away, na, nb, percent: int):
+    """Whether sets of these sizes that differ in `away` shingles link."""
+    return (100 + percent) * away <= (100 - percent) * (na + nb)
+
+
 def _sets(batch: pa.RecordBatch, column: int, n: int) -> Iterator[np.ndarray]:
     for _, _, buf, offs in textvec.text_chunks(batch.column(column)):
         yield from shingles(buf, offs, n)
@@ -73,31 +92,32 @@ def _batch(columns, schema: pa.Schema) -> pa.RecordBatch:
 
 
 def measured(docs: DataFrame, n: int) -> DataFrame:
-    """(id, n, s) of each row, s the name of its set; and slices of each task's sketch (part, counts)."""
+    """(id, n, s, sig) of each row, s the name of its set, sig its parity bits; and slices of each task's sketch (part, counts)."""
     id_type = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen, kind = np.zeros(SKETCH, np.uint32), set(), None
         for batch in batches:
             kind = batch.schema.field(0).type
-            size, name = [], []
+            size, name, sig = [], [], []
             for s in _sets(batch, 1, n):
                 size.append(len(s))
                 name.append(digest(s))
+                sig.append(parity(s))
                 if name[-1] not in seen:
                     if len(seen) > 500_000:
                         seen.clear()
                     seen.add(name[-1])
                     counts[(s >> np.uint64(44)).astype(np.int64)] += np.uint32(1)  # two of one text in a counter count once
             m = batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(name, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], ["id", "n", "s", "part", "counts"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(name, pa.int64()), pa.array(sig, pa.binary()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], ["id", "n", "s", "sig", "part", "counts"])
         if kind is not None:
             parts = [p for p in range(SKETCH // SLICE) if counts[p * SLICE : (p + 1) * SLICE].any()]
             m = len(parts)
             data = [counts[p * SLICE : (p + 1) * SLICE].tobytes() for p in parts]
-            yield pa.RecordBatch.from_arrays([pa.nulls(m, kind), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.array(parts, pa.int32()), pa.array(data, pa.binary())], ["id", "n", "s", "part", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(m, kind), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.array(parts, pa.int32()), pa.array(data, pa.binary())], ["id", "n", "s", "sig", "part", "counts"])
 
-    return docs.mapInArrow(run, f"id {id_type}, n long, s long, part int, counts binary")
+    return docs.mapInArrow(run, f"id {id_type}, n long, s long, sig binary, part int, counts binary")
 
 
 def _added(slices: DataFrame, kind: str, size: int, combine) -> np.ndarray:
@@ -260,6 +280,24 @@ def fetched(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(run, "s long, data binary")
 
 
+def plausible(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the pairs (a, b, na, nb) whose parity bits leave a link possible."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low = []
+            for x, y in zip(batch.column(4), batch.column(5), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)
+                width = min(len(x), len(y))
+                low.append(int(np.bitwise_count((folded(x, width) ^ folded(y, width)).view(np.uint64)).sum()))
+            ok = may_link(np.array(low, np.int64), batch.column(2).to_numpy().astype(np.int64), batch.column(3).to_numpy().astype(np.int64), percent)
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    of = lambda c: sigs.select(F.col("s").alias(c), F.col("sig").alias(f"sig_{c}"))
+    both = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "na", "nb", "sig_a", "sig_b")
+    return both.mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, away, linked) of each distinct pair: the size of the symmetric difference, and whether they link."""
 
@@ -281,33 +319,52 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def left_over(members: DataFrame, percent: int, parts: int) -> DataFrame:
-    """(a, b) of lists whose members are in several components that neither sizes, positions nor the known
-    differences with the leader rule out. members: list, s, n, pos, label, away (null if not known)."""
+    """(a, b) of lists whose members are in several components that neither sizes, positions, parity bits nor the
+    known differences with the leader rule out. members: list, s, n, pos, label, away (null if not known), sig."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches) if (batches := list(batches)) else None
-        if table is None:
+        batches = list(batches)
+        if not batches:
             return
-        ln, s, n, pos, label = (table.column(c).to_numpy() for c in ("list", "s", "n", "pos", "label"))
-        away = pc.fill_null(table.column("away"), -1).to_numpy()
-        order = np.lexsort((n, ln))
-        ln, s, n, pos, label, away = (x[order].astype(np.int64) for x in (ln, s, n, pos, label, away))
+        table = pa.Table.from_batches(batches)
+        table = table.set_column(table.column_names.index("away"), "away", pc.fill_null(table.column("away"), -1))
+        key = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("n", "list")])
+        table = table.take(pa.array(np.lexsort(key)))
+        ln, s, n, pos, label, away = (table.column(c).to_numpy().astype(np.int64) for c in ("list", "s", "n", "pos", "label", "away"))
+        sigs = table.column("sig").combine_chunks()
         cuts = np.flatnonzero(np.concatenate([[True], ln[1:] != ln[:-1]]))
         for lo, hi in zip(cuts, [*cuts[1:], len(ln)], strict=True):
+            own = [np.frombuffer(x.as_buffer(), np.uint8) for x in sigs[lo:hi]]
+            width = np.array([len(x) for x in own])  # as sizes ascend, so do widths
+            bits = {w: np.stack([x for x in own if len(x) == w]) for w in np.unique(width)}
+            start = {w: int(np.searchsorted(width, w)) for w in bits}
             for i in range(lo, hi - 1):
                 # sizes ascend: a block of the list from i on is enough
                 end = lo + int(np.searchsorted(n[lo:hi], n[i] * 100 // percent, "right"))
                 j = np.arange(i + 1, end)
                 j = j[(label[j] != label[i]) & fits(n[i], n[j], pos[i], pos[j], percent)]
-                if away[i] >= 0:
-                    j = j[(away[j] < 0) | ((100 + percent) * np.abs(away[j] - away[i]) <= (100 - percent) * (n[i] + n[j]))]
-                if len(j):
+                if away[i] >= 0 and len(j):
+                    j = j[(away[j] < 0) | may_link(np.abs(away[j] - away[i]), n[i], n[j], percent)]
+                found = []
+                for w in np.unique(width[j - lo]) if len(j) else []:
+                    at = j[width[j - lo] == w]
+                    mine = own[i - lo]
+                    differ = folded(bits[w][at - lo - start[w]], len(mine)) ^ mine
+                    found.append(at[may_link(np.bitwise_count(differ.view(np.uint64)).sum(axis=1, dtype=np.int64), n[i], n[at], percent)])
+                if found and len(j := np.concatenate(found)):
                     yield _batch([np.minimum(s[i], s[j]), np.maximum(s[i], s[j])], pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-    m = members.select("list", "s", "n", "pos", "label", "away")
+    m = members.select("list", "s", "n", "pos", "label", "away", "sig")
     return m.repartition(parts, "list").mapInArrow(run, "a long, b long").distinct()
 
 
+def _answers(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a table), verified, as a table: fetches their sets alone."""
+    wanted = pairs.select(F.col("a").alias("s")).unionByName(pairs.select(F.col("b").alias("s")))
+    sets = written(fetched(docs, wanted, n).join(wanted.distinct(), "s", "left_semi").dropDuplicates(["s"]), "shingles")
+    return written(verified(pairs, sets, percent), "answers")
+
+
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (least id that links reach, its own included), set_id of every row."""
     spark = docs.sparkSession
@@ -315,28 +372,29 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = written(measured(d, n), "sets")
     of_docs = rows.filter("n is not null").select("id", "n", "s")
+    one = rows.filter("n > 0").groupBy("s").agg(F.min("id").alias("rep"), F.max("sig").alias("sig"))
+    one = written(one, "distinct")
     counts = _added(rows.filter("counts is not null").select("part", "counts"), "u4", SKETCH, np.add)
     classes = spark.sparkContext.broadcast(_classes(counts))
     dealt = postings(d, n, percent, classes, 4 * parts).repartition(parts, "bucket")
     found = written(lists(dealt, percent), "lists")
-    stars = found.filter("near").select(F.col("leader").alias("a"), F.col("s").alias("b")).distinct()
-    stars = written(stars, "stars")
-    wanted = stars.select(F.col("a").alias("s")).unionByName(stars.select(F.col("b").alias("s"))).unionByName(found.filter("not pair").select("s"))
-    sets = written(fetched(d, wanted, n).dropDuplicates(["s"]), "shingles")
-    known = written(verified(stars, sets, percent), "answers")
+    sigs = one.select("s", "sig")
+    stars = found.filter("near").select(F.col("leader").alias("a"), F.col("s").alias("b"), "na", F.col("n").alias("nb")).distinct()
+    known = _answers(d, written(plausible(stars, sigs, percent), "stars"), n, percent)
     links = known.filter("linked").select("a", "b")
     labels = components(links)
     several = found.filter("not pair").groupBy("list", "leader", "s", "n").agg(F.min("pos").alias("pos"))  # a list may be in several buckets
     lab = several.join(labels.withColumnRenamed("id", "s"), "s", "left").withColumn("label", F.coalesce("component", "s"))
     open_ = lab.groupBy("list").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("list")
     answers = known.select(F.col("a").alias("leader"), F.col("b").alias("s"), "away")
-    lab = lab.join(open_, "list", "left_semi").join(answers, ["leader", "s"], "left").withColumn("away", F.when(F.col("leader") == F.col("s"), F.lit(0).cast("long")).otherwise(F.col("away")))
-    more = written(verified(left_over(lab, percent, parts), sets, percent).filter("linked").select("a", "b"), "more")
-    if not more.isEmpty():
+    lab = lab.join(open_, "list", "left_semi").join(answers, ["leader", "s"], "left").join(sigs, "s")
+    lab = lab.withColumn("away", F.when(F.col("leader") == F.col("s"), F.lit(0).cast("long")).otherwise(F.col("away")))
+    pairs = written(left_over(lab, percent, parts), "pairs")
+    if not pairs.isEmpty():
+        more = _answers(d, pairs, n, percent).filter("linked").select("a", "b")
         labels = components(links.unionByName(more))
     # names of sets -> the least id of all rows whose sets are in the component
-    least = of_docs.filter("n > 0").groupBy("s").agg(F.min("id").alias("rep"))
-    named = least.join(labels.withColumnRenamed("id", "s"), "s", "left").withColumn("label", F.coalesce("component", "s"))
+    named = one.select("s", "rep").join(labels.withColumnRenamed("id", "s"), "s", "left").withColumn("label", F.coalesce("component", "s"))
     whole = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     by_set = named.join(whole, "label").select("s", "component_id")
     full = of_docs.filter("n > 0").join(by_set, "s", "left").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", F.col("s").alias("set_id"))

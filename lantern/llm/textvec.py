@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 
 #: Odd multipliers of the polynomial, the mixer and the n-gram combination.
 BASE = 0x9E3779B97F4A7C15
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 _powers: list[np.ndarray] = []
 
 
