@@ -1,0 +1 @@
+"""The surface has no streams; its operators work on streaming DataFrames where Structured Streaming allows them."""
