@@ -41,19 +41,17 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def text_chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of about limit bytes, a longer text alone; null counts as empty."""
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    _, off, data = texts.buffers()
-    n = len(texts)
-    offs = np.frombuffer(off, np.int64, n + 1 + texts.offset)[texts.offset :] if n else np.zeros(1, np.int64)
-    raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
-    lo = 0
-    while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + limit, "right")) - 1)
-        hi = min(hi, n)
-        yield lo, hi, raw[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
-        lo = hi
+    for at in range(0, len(texts), 1024):  # little is copied at a time
+        part = pc.fill_null(texts.slice(at, 1024).cast(pa.large_string()), "")
+        _, off, data = part.buffers()
+        n = len(part)
+        offs = np.frombuffer(off, np.int64, n + 1 + part.offset)[part.offset :]
+        raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+        lo = 0
+        while lo < n:
+            hi = min(n, max(lo + 1, int(np.searchsorted(offs, offs[lo] + limit, "right")) - 1))
+            yield at + lo, at + hi, raw[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
+            lo = hi
 
 
 def lowered(buf: np.ndarray) -> np.ndarray:
