@@ -20,8 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lantern.llm.common import release
+
 #: Pieces whose ids a worker keeps at most; beyond that the memory starts anew, which changes no result.
-KEEP_PIECES = 300_000
+KEEP_PIECES = 120_000
 _codecs: dict[str, "Codec"] = {}
 
 
@@ -86,7 +88,7 @@ class Codec:
     def may_follow(self, left: int, right: int) -> bool:
         known = self.compatible.get((left, right))
         if known is None:
-            if len(self.compatible) > 4 * KEEP_PIECES:
+            if len(self.compatible) > KEEP_PIECES:
                 self.compatible.clear()
             known = self.compatible[left, right] = self._apart(left, right)
         return known
@@ -125,6 +127,12 @@ class Codec:
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(map(self.pieces.__getitem__, self.find(text))))
 
+    def forget(self) -> None:
+        """Drops what is memoised, at the end of a task."""
+        self.pieces.clear()
+        self.compatible.clear()
+        release()
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
 
@@ -166,6 +174,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
                 part = batch.slice(row, 512)
                 ids = [own.encode(t or "") for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+        own.forget()
 
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, ids array<int>")
@@ -200,6 +209,7 @@ def round_trip(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "do
                 of_ids.append(hashlib.sha256(" ".join(map(decimal, ids)).encode()).hexdigest())
                 of_bytes.append(hashlib.sha256(own.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        own.forget()
 
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -35,3 +37,15 @@ def n_partitions(spark: SparkSession) -> int:
 def held_out(id_col: str = "doc_id"):
     """True where crc32 of the id as text leaves remainder 0 by 5; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+def release() -> None:
+    """Gives memory that a Python worker no longer uses back to the system, at the end of a task: workers wait for the
+    next one, beside tasks that need the memory."""
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

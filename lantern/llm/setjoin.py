@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lantern.llm import textvec
-from lantern.llm.common import n_partitions, written
+from lantern.llm.common import n_partitions, release, written
 from lantern.llm.components import components
 
 WORDS, PERCENT = 5, 75
@@ -116,12 +116,14 @@ def measured(docs: DataFrame, n: int) -> DataFrame:
             m = len(parts)
             data = [counts[p * SLICE : (p + 1) * SLICE].tobytes() for p in parts]
             yield pa.RecordBatch.from_arrays([pa.nulls(m, kind), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.array(parts, pa.int32()), pa.array(data, pa.binary())], ["id", "n", "s", "sig", "part", "counts"])
+        release()
 
     return docs.mapInArrow(run, f"id {id_type}, n long, s long, sig binary, part int, counts binary")
 
 
-def _added(slices: DataFrame, kind: str, size: int, combine) -> np.ndarray:
-    """Slices of arrays of a fixed total size, combined by part: the result is as large whatever the input."""
+def _added(slices: DataFrame, kind: str, size: int, combine, once: bool = False) -> np.ndarray:
+    """Slices of arrays of a fixed total size, combined by part: the result is as large whatever the input. once: each
+    task's slices have different parts already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
@@ -132,8 +134,8 @@ def _added(slices: DataFrame, kind: str, size: int, combine) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["part", "counts"])
 
     out = np.zeros(size, kind)
-    once = slices.mapInArrow(run, "part int, counts binary")  # each task first adds up its own
-    for part, data in once.repartition(16, "part").mapInArrow(run, "part int, counts binary").collect():
+    own = slices if once else slices.mapInArrow(run, "part int, counts binary")  # each task first adds up its own
+    for part, data in own.repartition(16, "part").mapInArrow(run, "part int, counts binary").collect():
         x = np.frombuffer(data, kind)
         out[part * len(x) : (part + 1) * len(x)] = x
     return out
@@ -184,6 +186,8 @@ def postings(docs: DataFrame, n: int, percent: int, classes, buckets: int) -> Da
                     held, size = [], 0
         if held:
             yield out()
+        del held
+        release()
 
     return docs.mapInArrow(run, "bucket int, data binary")
 
@@ -238,6 +242,8 @@ def lists(dealt: DataFrame, percent: int) -> DataFrame:
         for lo in range(0, len(ln), 200_000):
             part = slice(lo, lo + 200_000)
             yield _batch([c[part][send[part]] for c in cols], LISTS)
+        del p, cols
+        release()
 
     return dealt.mapInArrow(run, "list long, leader long, s long, n int, pos int, na int, near boolean, pair boolean")
 
@@ -254,7 +260,7 @@ def fetched(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
         parts = [p for p in range(len(packed) // step) if packed[p * step : (p + 1) * step].any()]
         yield _batch([parts, [packed[p * step : (p + 1) * step].tobytes() for p in parts]], pa.schema([("part", pa.int32()), ("counts", pa.binary())]))
 
-    packed = _added(wanted.select("s").mapInArrow(bits, "part int, counts binary"), "u1", FILTER // 8, np.bitwise_or)
+    packed = _added(wanted.select("s").mapInArrow(bits, "part int, counts binary"), "u1", FILTER // 8, np.bitwise_or, once=True)
     shared = docs.sparkSession.sparkContext.broadcast(packed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,6 +282,7 @@ def fetched(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                     yield _batch([names, data], schema)
                     names, data, held = [], [], 0
             yield _batch([names, data], schema)
+        release()
 
     return docs.mapInArrow(run, "s long, data binary")
 
