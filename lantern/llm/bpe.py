@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from lantern.llm.common import release
 
 #: Pieces whose ids a worker keeps at most; beyond that the memory starts anew, which changes no result.
-KEEP_PIECES = 120_000
+KEEP_PIECES = 300_000
 _codecs: dict[str, "Codec"] = {}
 
 
@@ -37,7 +37,7 @@ class Codec:
         self.token = {int(rank): base64.b64decode(word) for word, rank in map(bytes.split, ranks.splitlines()) if word}
         self.id_of = {word: i for i, word in self.token.items()}
         self.find = regex.compile(pattern).findall
-        self.compatible: dict[tuple[int, int], bool] = {}
+        self.compatible: dict[int, bool] = {}
         self.merged: dict[tuple[int, int], int] = {}
         self.halves = {i: (i, i) for i, word in self.token.items() if len(word) == 1}
         self.shorter: dict[int, int] = {}
@@ -86,11 +86,12 @@ class Codec:
                 last, right = right + 1, b[0]
 
     def may_follow(self, left: int, right: int) -> bool:
-        known = self.compatible.get((left, right))
+        key = left << 32 | right
+        known = self.compatible.get(key)
         if known is None:
-            if len(self.compatible) > KEEP_PIECES:
+            if len(self.compatible) > 2 * KEEP_PIECES:
                 self.compatible.clear()
-            known = self.compatible[left, right] = self._apart(left, right)
+            known = self.compatible[key] = self._apart(left, right)
         return known
 
     def encode_piece(self, raw: bytes) -> list[int]:
