@@ -43,9 +43,15 @@ RULES = (
     Rule("hex", 1, r"[0-9a-f]{32,}", 0, 32),  # as [0-9a-f]+ of 32 or more: runs are maximal either way
 )
 SPANS = "array<struct<at:int,ord:int,kind:string,stop:int>>"
+#: Tasks that the paths of one blob are dealt to; only blobs with findings are repeated so often.
+SALTS = 32
 LEDGER = "blob binary, kind string, version int, spans " + SPANS
 
 
+def salt_of(id_col: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(id_col)), F.lit(SALTS)).cast("int")
+
+
 def spans_of(text: Column, rule: Rule, order: int) -> Column:
     """Spans of one rule, from the pieces between matches and the matches, in one running sum."""
     pieces = F.split(text, rule.pattern, -1)
@@ -103,9 +109,15 @@ def findings(ledger: DataFrame, rules=RULES) -> DataFrame:
     return rows.groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"))  # a list for each rule
 
 
+def salted(found: DataFrame, salts: int = SALTS) -> DataFrame:
+    """found once for each salt: paths of one blob are dealt by salt, so those of a hot blob meet its findings in many tasks."""
+    return found.withColumn("_salt", F.explode(F.array([F.lit(k) for k in range(salts)])))
+
+
 def by_path(paths: DataFrame, found: DataFrame) -> DataFrame:
     """path and spans (empty if none) for every path."""
-    return paths.select("path", "blob").join(found, "blob", "left").select("path", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
+    dealt = paths.select("path", "blob", salt_of("path").alias("_salt"))
+    return dealt.join(salted(found), ["blob", "_salt"], "left").select("path", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
 
 
 def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ledger: DataFrame | None = None, rules=RULES) -> DataFrame:
@@ -154,7 +166,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark
 
     text = F.col(text_col)
     cut = F.aggregate(F.col("_spans"), start, step(text), lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    joined = docs.withColumn("_blob", key).join(found, "_blob", "left")
+    joined = docs.withColumn("_blob", key).withColumn("_salt", salt_of(id_col)).join(salted(found), ["_blob", "_salt"], "left")
     return joined.withColumn(text_col, F.when(F.col("_spans").isNotNull(), cut).otherwise(text)).select(*docs.columns)
 
 
