@@ -27,7 +27,9 @@ ORDER = 3
 SPACE = 32
 #: The fit reads at most so many texts of a language, those of the lowest hashes.
 SAMPLE_PER_LANGUAGE = 300
-#: More languages than these are not learned: the most frequent in the sample stay.
+#: The rows that are ranked for it are those of the lowest hashes, about so many times as many.
+SLACK = 4
+#: More languages than these are not learned: the most frequent stay.
 MOST_LANGUAGES = 256
 
 
@@ -141,13 +143,19 @@ def code_lengths(model: Model, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 
 def sample(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE) -> dict[str, list[bytes]]:
-    """At most per_language texts of each language with a label and a text, of the lowest hashes."""
+    """At most per_language texts of each language with a label and a text, of the lowest hashes.
+
+    Rows of each language are counted first, so that only those under a hash that SLACK times as many would be under
+    are ranked: what meets in a language's task is bounded, however many rows there are.
+    """
     d = docs.filter(usable).select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("g")).filter("t is not null and g is not null")
-    order = Window.partitionBy("g").orderBy(F.xxhash64("i"), "i")
-    rows = d.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= per_language).select("g", "t")
-    top = rows.groupBy("g").count().orderBy(F.desc("count"), "g").limit(MOST_LANGUAGES).select("g")
+    rows_of = d.groupBy("g").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "g").limit(MOST_LANGUAGES)  # bounded: joined by broadcast
+    share = F.col("h") / F.lit(float(1 << 63)) / 2 + 0.5  # 0 to 1, alike for all hashes
+    near = d.withColumn("h", F.xxhash64("i")).join(F.broadcast(rows_of), "g").filter(share <= SLACK * per_language / F.col("n"))
+    order = Window.partitionBy("g").orderBy("h", "i")
+    rows = near.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= per_language).select("g", "t")
     out: dict[str, list[bytes]] = {}
-    for g, t in rows.join(F.broadcast(top), "g").orderBy("g").toLocalIterator():
+    for g, t in rows.orderBy("g").toLocalIterator():
         out.setdefault(g, []).append(t.encode("utf-8", "surrogatepass"))
     return out
 
