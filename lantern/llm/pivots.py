@@ -64,49 +64,68 @@ def choose(sample: np.ndarray, n: int, apart: float = APART) -> np.ndarray:
     return kept
 
 
-def first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The two least pivots that the sorted rows of a and b share, as one number."""
-    hit = (a[:, :, None] == b[:, None, :]).any(axis=2)
-    x = np.sort(np.where(hit, a.astype(np.int64), 1 << 20), axis=1)
-    return (x[:, 0] << 20) + x[:, 1]
-
-
-def compare(x, perm, ids, weight, rows, others, key, cosine: float, links: np.ndarray, same: bool) -> list[tuple[int, int]]:
-    """Adds links of each row of one block with one other, once for a pair; returns links that connect what is linked."""
-    edges: dict[int, int] = {}
-    found = []
+def compare(x, perm, weight, rows, others, key: int, cosine: float, links: np.ndarray, same: bool) -> list[tuple[int, int]]:
+    """Adds the links of one block's rows with another's that belong to this list; returns links that connect them.
+
+    A pair belongs to the list of its two least shared pivots, that is if it shares none of the pivots under the
+    list's second but the first. Rows are taken by the pattern of those lesser pivots, so that one look at two
+    patterns settles all pairs of their rows, and rows of patterns that share a pivot aren't multiplied at all.
+    """
+    low, high = key >> 20, key & ((1 << 20) - 1)
+    patterns, of = np.unique(np.where((perm < high) & (perm != low), perm, -1), axis=0, return_inverse=True)
+    of = of.ravel()
+    holds = np.zeros((len(patterns), int(perm.max()) + 2), np.float32)
+    np.put_along_axis(holds, patterns.astype(np.int64) + 1, 1, axis=1)
+    holds[:, 0] = 0
+    rows, others = rows[np.argsort(of[rows], kind="stable")], others[np.argsort(of[others], kind="stable")]
+    label, edges = np.arange(len(perm)), []
     for lo in range(0, len(rows), 512):
         part = rows[lo : lo + 512]
-        c = x[part] @ x[others].T
-        i, j = np.nonzero(c >= cosine)
-        a, b = part[i], others[j]
-        if same:
-            a, b = a[a < b], b[a < b]
-        for at in range(0, len(a), 500_000):
-            p, q = a[at : at + 500_000], b[at : at + 500_000]
-            own = first_shared(perm[p], perm[q]) == key
-            np.add.at(links, p[own], weight[q[own]])
-            np.add.at(links, q[own], weight[p[own]])
-            found.append(np.unique(np.stack([p, q], axis=1)[_forest(p, q, edges)], axis=0))
-    return [tuple(e) for part in found for e in part.tolist()]
-
-
-def _forest(p: np.ndarray, q: np.ndarray, parent: dict[int, int]) -> np.ndarray:
-    """Indices of links that join components not yet joined."""
-
-    def root(v: int) -> int:
-        while parent.setdefault(v, v) != v:
-            parent[v] = parent[parent[v]]
-            v = parent[v]
-        return v
-
-    keep = []
-    for k, (u, v) in enumerate(zip(p.tolist(), q.tolist(), strict=True)):
-        a, b = root(u), root(v)
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-            keep.append(k)
-    return np.array(keep, np.int64)
+        kinds, kind = np.unique(of[part], return_inverse=True)
+        apart = holds[kinds] @ holds.T == 0
+        with_some = others[apart.any(axis=0)[of[others]]]
+        if not len(with_some):
+            continue
+        hit = (x[part] @ x[with_some].T >= cosine) & apart[:, of[with_some]][kind.ravel()]
+        if same:  # each pair is met from both sides
+            hit &= part[:, None] != with_some
+        if not hit.any():
+            continue
+        counted = hit.astype(np.float64)
+        links[part] += (counted @ weight[with_some]).astype(np.int64)
+        if not same:
+            links[with_some] += (weight[part] @ counted).astype(np.int64)
+        edges += _forest(hit, part, with_some, label)
+    return edges
+
+
+def _forest(hit: np.ndarray, rows: np.ndarray, others: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
+    """Links that join components not yet joined, as many as it takes; label is the component of each vector so far.
+
+    In each round every row and every column names one link out of its component, so few rounds join all.
+    """
+    out = []
+    while True:
+        left = hit & (label[rows][:, None] != label[others])
+        i, j = np.flatnonzero(left.any(axis=1)), np.flatnonzero(left.any(axis=0))
+        if not len(i):
+            return out
+        a = np.concatenate([rows[i], rows[left[:, j].argmax(axis=0)]])
+        b = np.concatenate([others[left[i].argmax(axis=1)], others[j]])
+        parent = np.arange(len(label)).tolist()
+
+        def root(v: int) -> int:
+            while parent[v] != v:
+                parent[v] = parent[parent[v]]
+                v = parent[v]
+            return v
+
+        for u, v, c, d in zip(a.tolist(), b.tolist(), label[a].tolist(), label[b].tolist(), strict=True):
+            c, d = root(c), root(d)
+            if c != d:
+                parent[max(c, d)] = min(c, d)
+                out.append((u, v))
+        label[:] = np.array([root(v) for v in range(len(parent))])[label]
 
 
 def neighbours(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", cosine: float = COSINE, pivots: int = PIVOTS, m: int = NEAREST) -> DataFrame:
@@ -169,7 +188,7 @@ def neighbours(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
             p, q = key[1, lo], key[2, lo]
             links = np.zeros(len(ids), np.int64)
             left, right = np.flatnonzero(own == p), np.flatnonzero(own == q)
-            edges = compare(x, perm, ids, w, left, right, key[0, lo] & ((1 << 40) - 1), cosine, links, p == q)
+            edges = compare(x, perm, w.astype(np.float64), left, right, int(key[0, lo]) & ((1 << 40) - 1), cosine, links, p == q)
             some = np.flatnonzero(links)
             e = np.array(edges, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([ids[some], ids[e[:, 0]]])), pa.array(np.concatenate([links[some], np.zeros(len(e), np.int64)])), pa.array(np.concatenate([ids[some], ids[e[:, 1]]]))], schema=FOUND)
