@@ -46,6 +46,12 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return x / np.sqrt((x**2).sum(axis=1, keepdims=True))
 
 
+def _rows(column: pa.Array, kind: type) -> np.ndarray:
+    """Binary values of one length as the rows of a matrix."""
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[at[0] : at[-1]].view(kind).reshape(len(column), -1)
+
+
 def nearest(x: np.ndarray, pivots: np.ndarray, m: int) -> np.ndarray:
     """The m nearest pivots of each row, nearest first; ties go to the lower number."""
     return np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :m].astype(np.int16)
@@ -171,29 +177,40 @@ def neighbours(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     work = work.withColumns({"p": F.least("own", "other"), "q": F.greatest("own", "other")}).drop("other")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches)) if batches else None
-        if table is None or not table.num_rows:
-            return
-        key = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("cell", "p", "q")])
-        order = np.lexsort(key[::-1])
-        key = key[:, order]
-        cuts = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)]))
-        for lo, hi in zip(cuts, [*cuts[1:], len(order)], strict=True):
-            if hi - lo < 2:
-                continue
-            part = table.take(pa.array(order[lo:hi]))
-            ids, w, own = part.column("id").to_numpy(), part.column("w").to_numpy(), part.column("own").to_numpy()
-            x = np.stack([np.frombuffer(r.as_buffer(), np.float64) for r in part.column("x")])
-            perm = np.stack([np.frombuffer(r.as_buffer(), np.int16) for r in part.column("perm")])
-            p, q = key[1, lo], key[2, lo]
-            links = np.zeros(len(ids), np.int64)
-            left, right = np.flatnonzero(own == p), np.flatnonzero(own == q)
-            edges = compare(x, perm, w.astype(np.float64), left, right, int(key[0, lo]) & ((1 << 40) - 1), cosine, links, p == q)
-            some = np.flatnonzero(links)
+        """Rows come sorted by piece of work, so one piece is held at a time."""
+        held: list[pa.RecordBatch] = []
+        held_key = None
+        for batch in filter(len, batches):
+            key = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("cell", "p", "q")], axis=1)
+            cuts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))
+            out = []
+            for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(key)], strict=True):
+                own = tuple(key[lo].tolist())
+                if held and own != held_key:
+                    out.append(settled(held, held_key))
+                    held = []
+                held.append(batch.slice(lo, hi - lo))
+                held_key = own
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], schema=FOUND)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in settled(held, held_key)], schema=FOUND)
+
+    def settled(piece: list[pa.RecordBatch], key: tuple[int, int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """id, links and root of the rows of FOUND that a piece of work gives."""
+        ids, w, own = (np.concatenate([b.column(c).to_numpy() for b in piece]) for c in ("id", "w", "own"))
+        cell, p, q = key
+        links = np.zeros(len(ids), np.int64)
+        e = np.zeros((0, 2), np.int64)
+        if len(ids) > 1:
+            x = np.concatenate([_rows(b.column("x"), np.float64) for b in piece])
+            perm = np.concatenate([_rows(b.column("perm"), np.int16) for b in piece])
+            edges = compare(x, perm, w.astype(np.float64), np.flatnonzero(own == p), np.flatnonzero(own == q), cell & ((1 << 40) - 1), cosine, links, p == q)
             e = np.array(edges, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([ids[some], ids[e[:, 0]]])), pa.array(np.concatenate([links[some], np.zeros(len(e), np.int64)])), pa.array(np.concatenate([ids[some], ids[e[:, 1]]]))], schema=FOUND)
+        some = np.flatnonzero(links)
+        return np.concatenate([ids[some], ids[e[:, 0]]]), np.concatenate([links[some], np.zeros(len(e), np.int64)]), np.concatenate([ids[some], ids[e[:, 1]]])
 
-    dealt = work.repartition(parts, "cell", "p", "q")
+    dealt = work.repartition(parts, "cell", "p", "q").sortWithinPartitions("cell", "p", "q")
     found = written(dealt.mapInArrow(search, "id long, links long, root long"), "found")
     n_links = found.groupBy("id").agg(F.sum("links").alias("n"))
     labels = components(found.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))
