@@ -435,6 +435,7 @@ def links_brute(rows, least=0.9):
 
 def test_pivots(spark, monkeypatch):
     monkeypatch.setattr(pivots, "BLOCK", 20)  # so that lists are cut
+    monkeypatch.setattr(pivots, "PACK", 500)  # and dealt to several packs
     rng = np.random.default_rng(3)
     rows, centres = [], rng.normal(size=(40, 16))
     for i in range(500):
