@@ -1,4 +1,4 @@
-"""Ranking windows."""
+"""Ranking windows, neighbours in a window and aggregates over frames."""
 
 from __future__ import annotations
 
@@ -16,3 +16,14 @@ def rank_window(df: DataFrame, fn: str, order, partition=(), alias: str = "rank"
 def top_n_per_group(df: DataFrame, keys, order, n: int, alias: str = "rn") -> DataFrame:
     """The filter on the rank lets each task keep n rows of a group before the shuffle."""
     return rank_window(df, "row_number", order, keys, alias).filter(F.col(alias) <= n)
+
+
+def neighbour(df: DataFrame, col: str, order, partition=(), offset: int = 1, alias: str = "neighbour") -> DataFrame:
+    """df with the value of col `offset` rows before (or after, if negative) in the window; null beyond its ends."""
+    return df.withColumn(alias, F.lag(col, offset).over(Window.partitionBy(*partition).orderBy(*order)))
+
+
+def framed(df: DataFrame, value, order, partition=(), preceding: int | None = None, following: int = 0, alias: str = "framed") -> DataFrame:
+    """df with an aggregate over the rows from `preceding` before (None: all) to `following` after each row."""
+    start = Window.unboundedPreceding if preceding is None else -preceding
+    return df.withColumn(alias, value.over(Window.partitionBy(*partition).orderBy(*order).rowsBetween(start, following)))

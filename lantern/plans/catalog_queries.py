@@ -386,6 +386,24 @@ def window_topn_per_group(t):
     return w.top_n_per_group(t("orders"), ["o_custkey"], [F.desc("o_totalprice"), "o_orderkey"], 3).select("o_custkey", "o_orderkey", "rn")
 
 
+@query("SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders WHERE o_orderstatus = 'F'")
+def window_filtered(t):
+    return w.rank_window(t("orders").filter("o_orderstatus = 'F'"), "row_number", ["o_orderkey"], ["o_custkey"], "rn").select("o_orderkey", "rn")
+
+
+@query("SELECT o_orderkey, lag(o_orderkey) OVER k AS before, lead(o_orderkey, 2) OVER k AS after FROM orders WINDOW k AS (PARTITION BY o_custkey ORDER BY o_orderkey)")
+def window_lag_lead(t):
+    df = w.neighbour(t("orders").select("o_custkey", "o_orderkey"), "o_orderkey", ["o_orderkey"], ["o_custkey"], 1, "before")
+    return w.neighbour(df, "o_orderkey", ["o_orderkey"], ["o_custkey"], -2, "after").drop("o_custkey")
+
+
+@query("""SELECT p_partkey, CAST(sum(p_size) OVER (PARTITION BY p_brand ORDER BY p_partkey ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING) AS BIGINT) AS near,
+CAST(sum(p_size) OVER (PARTITION BY p_brand ORDER BY p_partkey ROWS UNBOUNDED PRECEDING) AS BIGINT) AS so_far FROM part""")
+def window_frames(t):
+    df = w.framed(t("part").select("p_partkey", "p_brand", "p_size"), F.sum("p_size"), ["p_partkey"], ["p_brand"], 2, 1, "near")
+    return w.framed(df, F.sum("p_size"), ["p_partkey"], ["p_brand"], alias="so_far").select("p_partkey", "near", "so_far")
+
+
 # order and pages
 
 
@@ -518,3 +536,8 @@ sql_query("dml_update", [*_COPY, ("UPDATE n SET n_name = %s, n_regionkey = n_reg
 sql_query("dml_delete", [*_COPY, "DELETE FROM n WHERE n_regionkey IN (1, 2)", _ALL], "SELECT * FROM nation WHERE n_regionkey NOT IN (1, 2)", "nation")
 sql_query("txn_rollback", [*_COPY, "!begin", "DELETE FROM n WHERE n_regionkey = 1", "!rollback", _ALL], "SELECT * FROM nation", "nation")
 sql_query("txn_commit", [*_COPY, "!begin", "DELETE FROM n WHERE n_regionkey = 1", "INSERT INTO n (n_nationkey) VALUES (77)", "!commit", _ALL], "SELECT * FROM nation WHERE n_regionkey <> 1 UNION ALL SELECT 77, NULL, NULL", "nation")
+_DERIVED = "SELECT c_name, n FROM customer JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) x ON x.o_custkey = c_custkey WHERE n > 3"
+sql_query("join_derived_table", [_DERIVED], _DERIVED, "customer", "orders")
+sql_query("union_all_offset", ["SELECT n_nationkey AS k FROM nation UNION ALL SELECT r_regionkey FROM region ORDER BY k DESC LIMIT 7 OFFSET 4"], "SELECT n_nationkey AS k FROM nation UNION ALL SELECT r_regionkey FROM region ORDER BY k DESC LIMIT 7 OFFSET 4", "nation", "region")
+sql_query("dml_update_scalar_subquery", [*_COPY, "UPDATE n SET n_regionkey = (SELECT max(r_regionkey) FROM region) WHERE n_nationkey < 5", _ALL], "SELECT n_nationkey, n_name, CASE WHEN n_nationkey < 5 THEN (SELECT max(r_regionkey) FROM region) ELSE n_regionkey END AS n_regionkey FROM nation", "nation", "region")
+sql_query("dml_insert_many_rows", [*_COPY, "INSERT INTO n (n_nationkey, n_name, n_regionkey) VALUES (90, 'A', 1), (91, NULL, 2)", _ALL], "SELECT * FROM nation UNION ALL SELECT 90, 'A', 1 UNION ALL SELECT 91, NULL, 2", "nation")
