@@ -40,6 +40,8 @@ from lantern.llm.components import components
 WORDS, PERCENT = 5, 75
 #: Counters of the sketch, and bits of the filter of sets to fetch; both are fixed, whatever the input.
 SKETCH, SLICE, FILTER = 1 << 20, 1 << 14, 1 << 23
+#: Tasks that the sets of one component are dealt to.
+SALTS = 32
 
 
 def shingles(buf: np.ndarray, offs: np.ndarray, n: int) -> Iterator[np.ndarray]:
@@ -401,9 +403,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
         more = _answers(d, pairs, n, percent).filter("linked").select("a", "b")
         labels = components(links.unionByName(more))
     # names of sets -> the least id of all rows whose sets are in the component
-    named = one.select("s", "rep").join(labels.withColumnRenamed("id", "s"), "s", "left").withColumn("label", F.coalesce("component", "s"))
-    whole = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    by_set = named.join(whole, "label").select("s", "component_id")
+    named = one.select("s", "rep").join(labels.withColumnRenamed("id", "s"), "s", "left")
+    linked = named.filter("component is not null").withColumn("salt", F.pmod(F.xxhash64("s"), F.lit(SALTS)))
+    # the sets of a large component meet its least id in many tasks
+    whole = linked.groupBy("component").agg(F.min("rep").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    alone = named.filter("component is null").select("s", F.col("rep").alias("component_id"))
+    by_set = linked.join(whole, ["component", "salt"]).select("s", "component_id").unionByName(alone)
     full = of_docs.filter("n > 0").join(by_set, "s", "left").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", F.col("s").alias("set_id"))
     empty = of_docs.filter("n = 0").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), F.col("s").alias("set_id"))
     return full.unionByName(empty)
