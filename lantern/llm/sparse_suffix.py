@@ -6,8 +6,9 @@ suffixes wherever it stands. Each kept suffix carries, for every passage of LENG
 fingerprint; suffixes are dealt by the selecting hash, sorted, and compared with their neighbours, and a suffix is
 extended left and right over all the passages that agree with another document's. Overlapping passages merge.
 
-Fingerprints met twice within one chunk of input are settled there and sent once, so a passage that a third of all
-documents hold is not gathered whole. Every word counts; nothing is capped.
+Fingerprints that two ids share within one chunk of input are settled there and sent once, so a passage that a third of
+all documents hold is not gathered whole; those of one id are sent from every place. Every word counts; nothing is
+capped.
 
 Defined results: null or empty text, texts under LENGTH words and null ids give no rows; rows that share an id are one
 document, so they aren't repeats of each other; words are compared with A-Z lower-cased; positions count words; other
@@ -136,7 +137,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
                 twice = shared_runs(mark, doc)
                 if twice.any():
                     yield batch_of([], intervals(doc[twice], at[twice], length))
-                _, once = np.unique(mark, return_index=True)
+                first = np.zeros(len(mark), bool)
+                first[np.unique(mark, return_index=True)[1]] = True
+                # a fingerprint of one id here is not settled: all its places may yet be shared with an id elsewhere
+                once = np.flatnonzero(first | ~twice)
                 held.append((doc[once], at[once], select[once], mark[once]))
                 size += len(once)
                 if size > 1_000_000:

@@ -305,6 +305,26 @@ def test_sparse_suffix(spark, texts, n):
     assert sparse_suffix.repeats(frame(spark, [])).count() == 0
 
 
+def test_sparse_suffix_finds_all_places_within_one_document(spark):
+    """A partition for each id: the other holder of a passage is never in the same chunk."""
+    rnd = random.Random(8)
+    make = lambda n: ["w%d" % rnd.randrange(10**6) for _ in range(n)]
+    p, q = make(60), make(55)
+    parts = [
+        [(1, " ".join(make(100) + p + make(200) + p + make(30) + q))],
+        [(2, " ".join(make(10) + p))],
+        [(3, " ".join(q + make(20))), (3, " ".join(make(5) + q + make(70) + q))],  # rows of one id
+        [(4, "word " * 300)], [(5, "word " * 120)],
+        [(6, " ".join(make(20) + q + q))],
+    ]
+    whole = spark.sparkContext.parallelize(parts, len(parts)).flatMap(lambda x: x)
+    docs = spark.createDataFrame(whole, "doc_id long, text string")
+    got = {}
+    for r in sparse_suffix.repeats(docs).collect():
+        got[r["doc_id"]] = [i for a, b in (map(int, x.split(":")) for x in r["spans"].split(",")) for i in range(a, b)]
+    assert got == repeats_brute([row for part in parts for row in part], 50)
+
+
 # 7 factorisation machine
 
 
