@@ -3,8 +3,9 @@
 A source's documents are dealt into blocks. With weight w, its block i (from 0) is released at slot floor(i / w) and
 due by slot ceil((i + 1) / w); at each slot the released block with the earliest deadline goes next. One unit of work
 a slot and weights that sum to 1 make that schedule feasible, so after every slot each source is within one block of
-its share. Weights are whole parts of a period, so one period's schedule, computed once, gives the slot of any block
-in closed form. When a source has no blocks left, a new phase begins with the weights of those that have.
+its share, however many slots there are: weights are taken as exact fractions. When a source has no blocks left, a
+new phase begins with the weights of those that have. The driver makes the schedule from counts, slot by slot: time
+and memory on it, and the broadcast table of slots, grow with the number of blocks (rows / block), not with texts.
 
 Defined results: every row is kept, at one place; a null source is a source of its own; null ids are ordered first;
 repeated rows share an order key and take neighbouring places; other columns are ignored; an empty table gives an
@@ -15,11 +16,15 @@ ValueError: they are collected as counts and scheduled on the driver.
 from __future__ import annotations
 
 import heapq
+from array import array
+from collections.abc import Iterator
+from fractions import Fraction
+from math import lcm
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK, SHARDS, PARTS, MOST_SOURCES = 16, 256, 1024, 1024
+BLOCK, SHARDS, CHUNK, MOST_SOURCES = 16, 256, 1024, 1024
 
 
 def parts_of(weights: list[float], parts: int) -> list[int]:
@@ -35,45 +40,68 @@ def parts_of(weights: list[float], parts: int) -> list[int]:
     return out
 
 
-def period(parts: list[int]) -> list[list[int]]:
-    """Slots of each source's blocks in one period of sum(parts) slots, earliest deadline first among the released."""
-    n = sum(parts)
-    out: list[list[int]] = [[] for _ in parts]
-    later = [(0, s) for s in range(len(parts))]  # (release, source)
+def schedule(shares: list[int], blocks: list[int]) -> list[array]:
+    """Slots of each source's blocks until one source has none left, earliest deadline first among the released.
+    Weights are shares[s] / sum(shares), in whole numbers, so releases and deadlines are exact."""
+    n = sum(shares)
+    out = [array("q") for _ in shares]
+    later = [(0, s) for s in range(len(shares))]  # (release, source)
     ready: list[tuple[int, int]] = []  # (deadline, source)
-    for slot in range(n):
+    slot = 0
+    while True:
         while later and later[0][0] <= slot:
             _, s = heapq.heappop(later)
-            i = len(out[s])
-            heapq.heappush(ready, (-(-(i + 1) * n // parts[s]), s))
+            heapq.heappush(ready, (-(-(len(out[s]) + 1) * n // shares[s]), s))
         due, s = heapq.heappop(ready)
         if due <= slot:
             raise AssertionError("a deadline is missed")
         out[s].append(slot)
-        if len(out[s]) < parts[s]:
-            heapq.heappush(later, (len(out[s]) * n // parts[s], s))
-    return out
+        slot += 1
+        done = len(out[s])
+        if done == blocks[s]:
+            return out
+        heapq.heappush(later, (done * n // shares[s], s))
 
 
-def phases(blocks: list[int], weights: list[float], parts: int = PARTS) -> list[tuple[int, int, int, int, int, list[int]]]:
-    """(source, first block, end block, first slot, period, slots within it) of each phase and source."""
-    done, start, out = [0] * len(blocks), 0, []
-    parts = max(parts, 2 * len(blocks))
-    while active := [s for s in range(len(blocks)) if done[s] < blocks[s]]:
-        slots = period(parts_of([weights[s] for s in active], parts) if len(active) > 1 else [1])
-        n = parts if len(active) > 1 else 1
-        ends = []
+def period(parts: list[int]) -> list[list[int]]:
+    """Slots of each source's blocks in one period of sum(parts) slots."""
+    n = sum(parts)
+    out = schedule(parts, [p + 1 for p in parts])  # a period and up to the first that goes beyond its own
+    return [[x for x in own if x < n] for own in out]
+
+
+def shares_of(weights: list[float]) -> list[int]:
+    """Whole numbers in the very proportions of the weights: floats are rational."""
+    exact = [Fraction(w) for w in weights]
+    common = lcm(*(e.denominator for e in exact))
+    return [int(e * common) for e in exact]
+
+
+def phases(blocks: list[int], weights: list[float]) -> Iterator[tuple[int, list[int], list[array]]]:
+    """First slot, sources and their slots (counted from it) of each phase."""
+    left, start = list(blocks), 0
+    while active := [s for s in range(len(blocks)) if left[s]]:
+        if len(active) == 1:
+            slots = [array("q", range(left[active[0]]))]
+        else:
+            slots = schedule(shares_of([weights[s] for s in active]), [left[s] for s in active])
+        yield start, active, slots
         for s, own in zip(active, slots, strict=True):
-            last = blocks[s] - done[s] - 1
-            ends.append(last // len(own) * n + own[last % len(own)] + 1)
-        length = min(ends)
+            left[s] -= len(own)
+            start += len(own)
+
+
+def chunks(blocks: list[int], weights: list[float]) -> Iterator[tuple[int, int, list[int], list[int]]]:
+    """(source, chunk, slots, phases) of each CHUNK blocks of a source, in order of blocks."""
+    slot: list[array] = [array("q") for _ in blocks]
+    phase: list[array] = [array("i") for _ in blocks]
+    for k, (start, active, slots) in enumerate(phases(blocks, weights)):
         for s, own in zip(active, slots, strict=True):
-            got = length // n * len(own) + sum(x < length % n for x in own)
-            if got:
-                out.append((s, done[s], done[s] + got, start, n, own))
-            done[s] += got
-        start += length
-    return out
+            slot[s].extend(array("q", (start + x for x in own)))
+            phase[s].extend(array("i", [k]) * len(own))
+    for s in range(len(blocks)):
+        for c in range(0, blocks[s], CHUNK):
+            yield s, c // CHUNK, slot[s][c : c + CHUNK].tolist(), phase[s][c : c + CHUNK].tolist()
 
 
 def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = BLOCK, temperature: float = 0.5) -> DataFrame:
@@ -98,10 +126,8 @@ def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", so
     wanted = [float((weights or {}).get(s, total[s] ** temperature)) for s in names]
     if not all(w > 0 for w in wanted):
         raise ValueError("weights must be over 0")
-    plan = [(names[s], a, b, at, n, own, k) for k, (s, a, b, at, n, own) in enumerate(phases([-(-total[s] // block) for s in names], wanted))]
-    starts = sorted({p[3] for p in plan})
-    plan = [(*p[:6], starts.index(p[3])) for p in plan]
-    plan_df = spark.createDataFrame(plan, "p_source string, a long, b long, at long, n long, own array<int>, phase int")
+    plan = [(names[s], *rest) for s, *rest in chunks([-(-total[s] // block) for s in names], wanted)]
+    plan_df = spark.createDataFrame(plan, "p_source string, p_chunk long, slots array<long>, phases array<int>")
     offset_df = spark.createDataFrame(offsets, "o_source string, o_shard int, before long")
     order = Window.partitionBy("source", "_shard").orderBy("_h", "doc_id")
     k = F.col("before") + F.row_number().over(order) - 1
@@ -109,12 +135,12 @@ def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", so
     d = d.join(F.broadcast(offset_df), F.col("source").eqNullSafe(F.col("o_source")) & (F.col("_shard") == F.col("o_shard")))
     k = F.col("before") + F.col("_rn") - 1
     d = d.select("doc_id", "source", k.alias("_k"), F.floor(k / block).cast("long").alias("block"))
-    # bounded: at most MOST_SOURCES shards and phases
-    d = d.join(F.broadcast(plan_df), F.col("source").eqNullSafe(F.col("p_source")) & (F.col("block") >= F.col("a")) & (F.col("block") < F.col("b")))
-    i = F.col("block") - F.col("a")
-    size = F.size("own").cast("long")
-    slot = F.col("at") + F.floor(i / size).cast("long") * F.col("n") + F.get("own", (i % size).cast("int")).cast("long")
-    return d.select("doc_id", "source", "block", slot.alias("slot"), (slot * block + F.col("_k") % block).alias("position"), "phase")
+    # a number or two for each block
+    at_chunk = F.floor(F.col("block") / CHUNK).cast("long")
+    d = d.join(F.broadcast(plan_df), F.col("source").eqNullSafe(F.col("p_source")) & (at_chunk == F.col("p_chunk")))
+    i = (F.col("block") % CHUNK).cast("int")
+    d = d.select("doc_id", "source", "block", F.get("slots", i).alias("slot"), "_k", F.get("phases", i).alias("phase"))
+    return d.select("doc_id", "source", "block", "slot", (F.col("slot") * block + F.col("_k") % block).alias("position"), "phase")
 
 
 def ordered(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = BLOCK) -> DataFrame:

@@ -276,6 +276,22 @@ def test_mix(spark):
         mixing.mix(docs, {"a": -1.0})
 
 
+def test_mix_keeps_to_the_target_weights_over_many_slots(spark):
+    """Never a block away from the weights themselves, however long the mix and small the weight."""
+    total = {"a": 7000, "b": 14000, "c": 40}
+    weights = {"a": 1.0, "b": 2.0, "c": 0.0003}
+    rows = [(i, s) for i, s in enumerate(s for s, n in total.items() for _ in range(n))]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), weights, block=1).orderBy("slot").collect()
+    assert [r["slot"] for r in got] == list(range(len(rows)))
+    done, share = Counter(), sum(weights.values())
+    for t, r in enumerate((r for r in got if r["phase"] == 0), 1):
+        done[r["source"]] += 1
+        assert all(abs(done[s] - t * weights[s] / share) < 1 for s in total)
+    assert t > 20000
+    first = next(t for t, r in enumerate(got) if r["phase"] == 1)
+    assert {r["phase"] for r in got[first:]} == {1, 2} and Counter(r["source"] for r in got) == total
+
+
 # 6 sparse suffix array
 
 
