@@ -35,8 +35,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and decoded bytes."""
-    return bpe.round_trip(docs, *queries.tokenizer())
+    """Token counts and digests of ids and decoded bytes, with each row's slot and position in the mix: the schedule
+    depends on the rows alone, so they are the places in which the stage before wrote the rows."""
+    placed = mixing.mix(docs, whole=True).select(F.struct("doc_id", "slot", "position").alias("place"), F.col("row.text").alias("text"))
+    counted = bpe.round_trip(placed, *queries.tokenizer(), id_col="place")  # doc_id, of a type of its own, is the place
+    return counted.select("doc_id.doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "doc_id.slot", "doc_id.position")
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("secrets", secrets), ("mix", mix), ("tokens", tokens)]

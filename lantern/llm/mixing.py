@@ -104,16 +104,19 @@ def chunks(blocks: list[int], weights: list[float]) -> Iterator[tuple[int, int,
             yield s, c // CHUNK, slot[s][c : c + CHUNK].tolist(), phase[s][c : c + CHUNK].tolist()
 
 
-def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = BLOCK, temperature: float = 0.5) -> DataFrame:
+def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = BLOCK, temperature: float = 0.5, whole: bool = False) -> DataFrame:
     """doc_id, source, block, slot (the block's place), position (the row's place in the mix), phase.
 
     weights: target weight by source, over 0; those left out, or all if None, get their share of rows to the power
     `temperature`. Rows are ordered within a source by a hash of the id. Sources are cut in shards by that hash, so
-    that a hot one is numbered by many tasks; counts of shards, not rows, meet in one place.
+    that a hot one is numbered by many tasks; counts of shards, not rows, meet in one place. whole: with a last column
+    `row`, the row itself as a struct.
     """
     spark = docs.sparkSession
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.xxhash64(F.col(id_col)).alias("_h"))
+    own = [F.struct(*docs.columns).alias("row")] if whole else []
+    d = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.xxhash64(F.col(id_col)).alias("_h"), *own)
     d = d.withColumn("_shard", F.shiftrightunsigned(F.col("_h"), 56).cast("int") if SHARDS == 256 else F.pmod("_h", F.lit(SHARDS)).cast("int"))
+    own = ["row"] if whole else []
     shard_rows = d.groupBy("source", "_shard").count().limit(MOST_SOURCES * SHARDS + 1).collect()
     total: dict = {}
     offsets = []
@@ -134,17 +137,15 @@ def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", so
     d = d.withColumn("_rn", F.row_number().over(order).cast("long"))
     d = d.join(F.broadcast(offset_df), F.col("source").eqNullSafe(F.col("o_source")) & (F.col("_shard") == F.col("o_shard")))
     k = F.col("before") + F.col("_rn") - 1
-    d = d.select("doc_id", "source", k.alias("_k"), F.floor(k / block).cast("long").alias("block"))
+    d = d.select("doc_id", "source", k.alias("_k"), F.floor(k / block).cast("long").alias("block"), *own)
     # a number or two for each block
     at_chunk = F.floor(F.col("block") / CHUNK).cast("long")
     d = d.join(F.broadcast(plan_df), F.col("source").eqNullSafe(F.col("p_source")) & (at_chunk == F.col("p_chunk")))
     i = (F.col("block") % CHUNK).cast("int")
-    d = d.select("doc_id", "source", "block", F.get("slots", i).alias("slot"), "_k", F.get("phases", i).alias("phase"))
-    return d.select("doc_id", "source", "block", "slot", (F.col("slot") * block + F.col("_k") % block).alias("position"), "phase")
+    d = d.select("doc_id", "source", "block", F.get("slots", i).alias("slot"), "_k", F.get("phases", i).alias("phase"), *own)
+    return d.select("doc_id", "source", "block", "slot", (F.col("slot") * block + F.col("_k") % block).alias("position"), "phase", *own)
 
 
 def ordered(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = BLOCK) -> DataFrame:
-    """docs, whole rows, in the order of the mix; rows without an id come last, as do repeats of one id in any order."""
-    places = mix(docs, weights, id_col, source_col, block).filter("doc_id is not null")
-    places = places.groupBy(F.col("doc_id").alias("_id")).agg(F.min("position").alias("_position"))
-    return docs.join(places, docs[id_col] == F.col("_id"), "left").orderBy(F.asc_nulls_last("_position")).select(*docs.columns)
+    """docs, whole rows, in the order of their positions in the mix."""
+    return mix(docs, weights, id_col, source_col, block, whole=True).orderBy("position").select("row.*")

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import re
+from collections import Counter
 
 import corpus_pipeline
 import tiktoken
@@ -56,3 +57,33 @@ def test_stages_take_empty_tables_and_odd_rows(spark):
             out.collect()
     mixed = spark.read.parquet(f"{SF}/documents.parquet")
     assert corpus_pipeline.mix(spark, mixed, SF).count() == mixed.count()
+
+
+def test_the_mix_is_seen_in_the_result(spark):
+    docs = {r["doc_id"]: r["source"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = sorted((r["position"], r["slot"], r["doc_id"]) for r in corpus_pipeline.run(spark, SF).collect())
+    assert len({p for p, _, _ in got}) == len(got)
+    slots = {}
+    for p, slot, i in got:
+        assert p // 16 == slot and slots.setdefault(slot, docs[i]) == docs[i]  # a slot is a block of one source
+    assert sorted(slots) == list(range(len(slots)))
+    total, blocks = Counter(docs[i] for _, _, i in got), Counter(slots.values())
+    left, share, done = Counter(blocks), {s: n**0.5 for s, n in total.items()}, Counter()
+    for t in range(len(slots)):
+        done[slots[t]] += 1
+        assert all(abs(done[s] - done.total() * w / sum(share.values())) < 1 for s, w in share.items())
+        if done[slots[t]] == left[slots[t]]:  # a new phase, with those that have blocks
+            left, done = left - done, Counter()
+            share = {s: w for s, w in share.items() if left[s]}
+    assert len(total) > 1 and not share
+
+
+def test_tokens_name_the_places_of_the_mix(spark):
+    """Null and repeated ids too: the n-th row that the mix writes is the n-th by position."""
+    rows = [(i % 50 if i % 7 else None, f"text {i}", "en", "abc"[i % 3] if i % 5 else None, i) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = corpus_pipeline.mix(spark, docs, SF)
+    written = [(r["doc_id"], hashlib.sha256(r["text"].encode()).hexdigest()) for r in mixed.collect()]
+    got = sorted(corpus_pipeline.tokens(spark, mixed, SF).collect(), key=lambda r: r["position"])
+    assert [i for i, _ in written] == [r["doc_id"] for r in got]
+    assert sorted(written, key=str) == sorted(((r["doc_id"], r["decoded_sha256"]) for r in got), key=str)
