@@ -19,9 +19,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document with the least id."""
-    chosen = setjoin.join(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(chosen, "doc_id", "left_semi").select(*docs.columns)
+    """Of each group of near duplicates, one row: of the least id (null ids last), and one of its rows if it has several.
+    Rows without an id or a text are judged like others; those that link with nothing stay."""
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")  # so that a row keeps its number
+    name = F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0)).alias("id"), "_row")
+    chosen = setjoin.join(rows.withColumn("_name", name), id_col="_name").filter("doc_id = component_id")
+    return rows.join(chosen.select("doc_id._row"), "_row", "left_semi").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

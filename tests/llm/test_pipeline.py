@@ -87,3 +87,13 @@ def test_tokens_name_the_places_of_the_mix(spark):
     got = sorted(corpus_pipeline.tokens(spark, mixed, SF).collect(), key=lambda r: r["position"])
     assert [i for i, _ in written] == [r["doc_id"] for r in got]
     assert sorted(written, key=str) == sorted(((r["doc_id"], r["decoded_sha256"]) for r in got), key=str)
+
+
+def test_near_duplicates_keep_one_row_of_each_group(spark):
+    """Of rows, not of ids: null ids, repeated rows, and one id on several texts."""
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "xyz")
+    near = one.replace("x59", "other")
+    rows = [(5, one), (5, one), (6, near), (None, one), (5, two), (7, two), (None, three), (None, three + " "), (8, None), (8, None), (None, ""), (None, "alone in the whole table"), (9, two + " tail")]
+    docs = spark.createDataFrame([(i, t, "en", "s", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(r["n_chars"] for r in corpus_pipeline.near_duplicates(spark, docs.coalesce(1), SF).collect())
+    assert got[0] in (0, 1) and got[1] == 4 and got[2] in (6, 7) and got[3:] == [8, 9, 10, 11]
