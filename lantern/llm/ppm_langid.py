@@ -4,7 +4,8 @@ One variable-order byte context tree for each language, of orders 0 to 3, counte
 texts and frozen. A symbol costs -log2(n / (n + d)) bits in a context with n symbols seen, d of them distinct; an
 unseen one costs the escape, -log2(d / (n + d)), plus its cost in the next shorter context; below order 0 all 256
 bytes cost 8 bits. A text's code length under each tree is exact, over all its bytes; the shortest names the language.
-The trees are laid out as tables, so scoring is a few gathers for each byte; they are bounded by the sample.
+The trees are laid out as tables, so scoring is a few gathers for each byte; they are bounded by the sample. Every
+language with a label is learned; tables hold a few languages each, and a text is scored under one after another.
 
 Defined results: `und` with score 0 for null texts, texts without a letter, and if nothing could be learned; ties go
 to the language that sorts first; ids may be null or repeated (one row for each input row); other columns are
@@ -13,8 +14,11 @@ ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +33,8 @@ SPACE = 32
 SAMPLE_PER_LANGUAGE = 300
 #: The rows that are ranked for it are those of the lowest hashes, about so many times as many.
 SLACK = 4
-#: More languages than these are not learned: the most frequent stay.
-MOST_LANGUAGES = 256
+#: Languages whose tables are made and looked up together; those of more are scored block by block.
+BLOCK_LANGUAGES = 4
 
 
 @dataclass
@@ -142,47 +146,64 @@ def code_lengths(model: Model, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return out
 
 
-def sample(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE) -> dict[str, list[bytes]]:
-    """At most per_language texts of each language with a label and a text, of the lowest hashes.
+def sample(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE) -> Iterator[tuple[str, list[bytes]]]:
+    """Each language with a label and a text, in order, with at most per_language of its texts, of the lowest hashes.
 
     Rows of each language are counted first, so that only those under a hash that SLACK times as many would be under
     are ranked: what meets in a language's task is bounded, however many rows there are.
     """
     d = docs.filter(usable).select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("g")).filter("t is not null and g is not null")
-    rows_of = d.groupBy("g").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "g").limit(MOST_LANGUAGES)  # bounded: joined by broadcast
+    rows_of = d.groupBy("g").agg(F.count(F.lit(1)).alias("n"))  # a row for each language: joined by broadcast
     share = F.col("h") / F.lit(float(1 << 63)) / 2 + 0.5  # 0 to 1, alike for all hashes
     near = d.withColumn("h", F.xxhash64("i")).join(F.broadcast(rows_of), "g").filter(share <= SLACK * per_language / F.col("n"))
     order = Window.partitionBy("g").orderBy("h", "i")
     rows = near.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= per_language).select("g", "t")
-    out: dict[str, list[bytes]] = {}
-    for g, t in rows.orderBy("g").toLocalIterator():
-        out.setdefault(g, []).append(t.encode("utf-8", "surrogatepass"))
+    for g, own in groupby(rows.orderBy("g").toLocalIterator(), lambda r: r["g"]):
+        yield g, [r["t"].encode("utf-8", "surrogatepass") for r in own]
+
+
+def learn(docs: DataFrame, usable: Column) -> list[Model | bytes]:
+    """Models of all languages, BLOCK_LANGUAGES in each; packed if there are several, as dense tables pack well."""
+    languages, out = sample(docs, usable), []
+    while samples := dict(islice(languages, BLOCK_LANGUAGES)):
+        if len(out) == 1 and isinstance(out[0], Model):
+            out = [_packed(out[0])]
+        model = fit(samples)
+        out.append(_packed(model) if out else model)
     return out
 
 
-def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, lang_pred, score (the chosen language's share of the probability, 0 to 1) and bits (its code length)."""
+def _packed(model: Model) -> bytes:
+    return zlib.compress(pickle.dumps(model), 1)
+
+
+def predict(docs: DataFrame, model: Model | list[Model | bytes] | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, lang_pred, score (the chosen language's share of the probability, 0 to 1) and bits (its code length).
+    model: of fit or learn; a code length depends on its language alone, so blocks of languages add up to one model."""
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("ok"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast([model] if isinstance(model, Model) else model or [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
         for batch in batches:
-            names, scores, lengths = [], [], []
-            for lo, hi, buf, offs in textvec.text_chunks(batch.column(1), 1 << 19):
-                if own is None:
-                    names += ["und"] * (hi - lo)
-                    scores += [0.0] * (hi - lo)
-                    lengths += [None] * (hi - lo)
-                    continue
-                bits = code_lengths(own, buf, offs)
-                best = bits.argmin(axis=1)
-                least = bits[np.arange(len(bits)), best]
-                share = 1.0 / np.exp2(np.maximum(least[:, None] - bits, -1000.0)).sum(axis=1)
-                ok = batch.column(2).slice(lo, hi - lo).to_numpy(zero_copy_only=False)
-                names += [own.langs[b] if y else "und" for b, y in zip(best, ok, strict=True)]
-                scores += np.where(ok, share, 0.0).tolist()
-                lengths += least.tolist()
+            n = batch.num_rows
+            names, least, total = np.full(n, "und", object), np.full(n, np.inf), np.zeros(n)
+            for block in shared.value:
+                own = block if isinstance(block, Model) else pickle.loads(zlib.decompress(block))
+                for lo, hi, buf, offs in textvec.text_chunks(batch.column(1), 1 << 19):
+                    bits = code_lengths(own, buf, offs)
+                    best = bits.argmin(axis=1)
+                    low = bits[np.arange(len(bits)), best]
+                    share = np.exp2(np.maximum(low[:, None] - bits, -1000.0)).sum(axis=1)
+                    before = least[lo:hi]
+                    both = np.minimum(before, low)
+                    total[lo:hi] = total[lo:hi] * np.exp2(np.maximum(both - before, -1000.0)) + share * np.exp2(np.maximum(both - low, -1000.0))
+                    names[lo:hi] = np.where(low < before, np.array(own.langs, object)[best], names[lo:hi])  # ties: the first
+                    least[lo:hi] = both
+            learned = len(shared.value) > 0
+            ok = batch.column(2).to_numpy(zero_copy_only=False).astype(bool) & learned
+            scores = np.where(ok, 1.0 / np.maximum(total, 1.0), 0.0)
+            names = np.where(ok, names, "und").tolist()
+            lengths = least.tolist() if learned else [None] * n
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(lengths, pa.float64())], ["doc_id", "lang_pred", "score", "bits"])
 
     return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double, bits double")

@@ -56,8 +56,7 @@ def op7_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_ppm_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    samples = ppm_langid.sample(docs, ~held_out())
-    predicted = ppm_langid.predict(docs, ppm_langid.fit(samples) if samples else None)
+    predicted = ppm_langid.predict(docs, ppm_langid.learn(docs, ~held_out()))
     return predicted.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 

@@ -424,6 +424,27 @@ def test_ppm_langid(spark):
     assert {r["lang_pred"] for r in ppm_langid.predict(frame(spark, ODD), None).collect()} == {"und"}
 
 
+def test_ppm_learns_every_language(spark, monkeypatch):
+    rnd = random.Random(12)
+    rows, samples = [], {}
+    for k in range(300):
+        letters = rnd.sample("abcdefghijklmnopqrstuvwxyz", 6)
+        text = " ".join("".join(rnd.choice(letters) for _ in range(5)) for _ in range(12))
+        rows.append((k, text, f"l{k:03d}"))
+        samples[f"l{k:03d}"] = [text.encode()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(queries, "held_out", lambda: F.lit(False))
+    monkeypatch.setattr(queries, "table", lambda *_: docs)
+    got = queries.op8_ppm_langid(spark, "").collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == {i: lang for i, _, lang in rows}
+    mixed = [(k, rows[k][1][:20] + rows[-k - 1][1][:20]) for k in range(20)]
+    found = ppm_langid.predict(frame(spark, mixed), ppm_langid.learn(docs, F.lit(True))).collect()
+    for r in found:
+        want = np.array(ppm_brute(samples, dict(mixed)[r["doc_id"]].encode()))
+        assert r["lang_pred"] == sorted(samples)[want.argmin()] and r["bits"] == pytest.approx(want.min(), rel=1e-5)
+        assert r["score"] == pytest.approx(1 / np.exp2(want.min() - want).sum(), rel=1e-3)
+
+
 # 9 BPE
 
 
