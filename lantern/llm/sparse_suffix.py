@@ -1,10 +1,10 @@
-"""Exact repeats across documents by a sparse suffix array.
+"""Exact repeats across documents by a join of window fingerprints, dealt by minimisers.
 
-A suffix is kept only where a minimiser selects it by content: of every LENGTH consecutive words, the LENGTH - K + 1
-K-grams in them name the one with the least hash. A repeated passage of LENGTH words or more therefore keeps the same
-suffixes wherever it stands. Each kept suffix carries, for every passage of LENGTH words around it that selected it, a
-fingerprint; suffixes are dealt by the selecting hash, sorted, and compared with their neighbours, and a suffix is
-extended left and right over all the passages that agree with another document's. Overlapping passages merge.
+This stands in for a sparse suffix array: no suffixes are kept, sorted or extended. Every window of LENGTH words, at
+every word, has a fingerprint, and equal fingerprints of two ids are a repeat; windows that overlap or touch merge, so
+longer passages come out whole. Of the LENGTH - K + 1 K-grams of a window, the one with the least hash says only to
+which task the fingerprint goes: windows that follow one another mostly share it, and travel packed. A position and a
+fingerprint for nearly every word are sent, where a suffix array of minimisers would in theory keep one in 22.
 
 Fingerprints that two ids share within one chunk of input are settled there and sent once, so a passage that a third of
 all documents hold is not gathered whole; those of one id are sent from every place. Every word counts; nothing is
