@@ -6,6 +6,7 @@ link or component comes to the driver: it sees a count and a checksum. Nodes are
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,3 +39,32 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             break
     roots = links.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return links.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
+
+
+def forest(hit: np.ndarray, rows: np.ndarray, others: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
+    """Links that join components not yet joined, as many as it takes; label is the component of each vector so far.
+
+    In each round every row and every column names one link out of its component, so few rounds join all.
+    """
+    out = []
+    while True:
+        left = hit & (label[rows][:, None] != label[others])
+        i, j = np.flatnonzero(left.any(axis=1)), np.flatnonzero(left.any(axis=0))
+        if not len(i):
+            return out
+        a = np.concatenate([rows[i], rows[left[:, j].argmax(axis=0)]])
+        b = np.concatenate([others[left[i].argmax(axis=1)], others[j]])
+        parent = np.arange(len(label)).tolist()
+
+        def root(v: int) -> int:
+            while parent[v] != v:
+                parent[v] = parent[parent[v]]
+                v = parent[v]
+            return v
+
+        for u, v, c, d in zip(a.tolist(), b.tolist(), label[a].tolist(), label[b].tolist(), strict=True):
+            c, d = root(c), root(d)
+            if c != d:
+                parent[max(c, d)] = min(c, d)
+                out.append((u, v))
+        label[:] = np.array([root(v) for v in range(len(parent))])[label]

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from lantern.llm import textvec
 from lantern.llm.common import n_partitions, release, written
-from lantern.llm.components import components
+from lantern.llm.components import components, forest
 
 PIVOTS, NEAREST, COSINE = 256, 6, 0.9
 SAMPLE, APART = 4096, 0.6
@@ -124,39 +124,10 @@ def compare(x, perm, weight, rows, others, key: int, cosine: float, links: np.nd
         links[part] += (counted @ weight[with_some]).astype(np.int64)
         if not same:
             links[with_some] += (weight[part] @ counted).astype(np.int64)
-        edges += _forest(hit, part, with_some, label)
+        edges += forest(hit, part, with_some, label)
     return edges
 
 
-def _forest(hit: np.ndarray, rows: np.ndarray, others: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
-    """Links that join components not yet joined, as many as it takes; label is the component of each vector so far.
-
-    In each round every row and every column names one link out of its component, so few rounds join all.
-    """
-    out = []
-    while True:
-        left = hit & (label[rows][:, None] != label[others])
-        i, j = np.flatnonzero(left.any(axis=1)), np.flatnonzero(left.any(axis=0))
-        if not len(i):
-            return out
-        a = np.concatenate([rows[i], rows[left[:, j].argmax(axis=0)]])
-        b = np.concatenate([others[left[i].argmax(axis=1)], others[j]])
-        parent = np.arange(len(label)).tolist()
-
-        def root(v: int) -> int:
-            while parent[v] != v:
-                parent[v] = parent[parent[v]]
-                v = parent[v]
-            return v
-
-        for u, v, c, d in zip(a.tolist(), b.tolist(), label[a].tolist(), label[b].tolist(), strict=True):
-            c, d = root(c), root(d)
-            if c != d:
-                parent[max(c, d)] = min(c, d)
-                out.append((u, v))
-        label[:] = np.array([root(v) for v in range(len(parent))])[label]
-
-
 def neighbours(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", cosine: float = COSINE, pivots: int = PIVOTS, m: int = NEAREST) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row."""
     spark = vectors.sparkSession

@@ -147,6 +147,7 @@ def set_of(text, n=5):
 def join_brute(rows, percent=75):
     sets = [set_of(t) for _, t in rows]
     parent = list(range(len(rows)))
+    links = [0] * len(rows)
 
     def root(v):
         while parent[v] != v:
@@ -157,26 +158,76 @@ def join_brute(rows, percent=75):
         for j in range(i):
             if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
                 parent[root(i)] = root(j)
+                if rows[i][0] is not None and rows[j][0] is not None:
+                    links[i] += 1
+                    links[j] += 1
     least = {}
     for i, (k, _) in enumerate(rows):
         if k is not None:
             least[root(i)] = min(k, least.get(root(i), k))
-    return [(k, len(s), least.get(root(i))) for i, ((k, _), s) in enumerate(zip(rows, sets, strict=True))]
+    return [(k, len(s), least.get(root(i)), links[i]) for i, ((k, _), s) in enumerate(zip(rows, sets, strict=True))]
 
 
-def test_jaccard_join(spark, texts):
+def joined(spark, rows, **sizes):
+    return [(r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in setjoin.join(frame(spark, rows), **sizes).collect()]
+
+
+@pytest.mark.parametrize("sizes", [{}, {"hot": 5, "block": 7, "work": 500}])
+def test_jaccard_join(spark, texts, sizes):
+    """Small sizes: lists under frequent shingles and groups are cut into many pieces."""
     rows = texts + [(1000 + i if i is not None else None, t) for i, t in ODD]
-    got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in setjoin.join(frame(spark, rows)).collect()]
-    assert sorted(got, key=str) == sorted(join_brute(rows), key=str)
-    assert setjoin.join(frame(spark, [])).count() == 0
+    assert sorted(joined(spark, rows, **sizes), key=str) == sorted(join_brute(rows), key=str)
+    assert joined(spark, [], **sizes) == []
+
+
+def test_jaccard_join_cuts_the_list_of_a_frequent_shingle(spark):
+    """One list holds copies in two groups and texts of neither, so pieces must meet; counters are far above the usual."""
+    words = [f"w{i}" for i in range(300)]
+    rnd = random.Random(9)
+    rows = [(i, " ".join([*words[:60], f"a{i}", *words[100:112]])) for i in range(90)]
+    rows += [(200 + i, " ".join([*words[:60], *words[200:255], f"b{i}"])) for i in range(90)]
+    rows += [(400 + i, " ".join([*words[: rnd.randint(6, 60)], *(f"c{i}x{j}" for j in range(rnd.randint(0, 12)))])) for i in range(90)]
+    assert sorted(joined(spark, rows, hot=10, block=16, work=1000)) == sorted(join_brute(rows))
 
 
 def test_jaccard_join_looks_beyond_the_leader(spark):
     """Chains: neighbours link, ends do not, so answers must come from sets other than the leader."""
     words = [f"w{i}" for i in range(400)]
     rows = [(i, " ".join(words[8 * i : 8 * i + 100])) for i in range(30)] + [(100 + i, " ".join(words[5 * i : 5 * i + 90])) for i in range(40)]
-    got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in setjoin.join(frame(spark, rows)).collect()]
-    assert sorted(got) == sorted(join_brute(rows))
+    assert sorted(joined(spark, rows)) == sorted(join_brute(rows))
+
+
+def test_jaccard_join_sends_few_rows_for_a_large_group(spark, monkeypatch):
+    """2,000 near copies, of which half at most link with any one: what is written grows with the group, not its square."""
+    rnd = random.Random(6)
+    core = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(2000):
+        near = list(core)
+        for _ in range(rnd.randint(1, 9)):
+            near[rnd.randrange(150)] = f"x{rnd.randrange(10**6)}"
+        rows.append((i, " ".join(near)))
+    written = {}
+
+    def counted(df, name, put=setjoin.written):
+        written[name] = max(written.get(name, 0), (out := put(df, name)).count())
+        return out
+
+    monkeypatch.setattr(setjoin, "written", counted)
+    got = {r[0]: r[1:] for r in joined(spark, rows)}
+    sets = [set_of(t) for _, t in rows]
+    names = {x: i for i, x in enumerate({x for s in sets for x in s})}
+    holds = np.zeros((2000, len(names)), np.float32)
+    for i, s in enumerate(sets):
+        holds[i, [names[x] for x in s]] = 1
+    both, size = holds @ holds.T, holds.sum(axis=1)
+    link = 100 * both >= 75 * (size[:, None] + size - both)
+    least = np.arange(2000)
+    while (next_ := np.where(link, least, 2000).min(axis=1)).tolist() != least.tolist():
+        least = next_
+    assert {i: (g[1], g[2]) for i, g in got.items()} == {i: (int(least[i]), int(link[i].sum()) - 1) for i in range(2000)}
+    assert link.sum(axis=1).max() < 1100 and len(set(least.tolist())) < 1500
+    assert written["edges"] < 20_000 and written["answers"] < 5_000
 
 
 def test_components(spark):
