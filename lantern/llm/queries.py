@@ -134,4 +134,18 @@ m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(l
 b AS (SELECT *, CAST({_BITS} AS BIGINT) AS bits FROM m)
 SELECT *, (bits & {_BASE}) <> 0 AS base_failed, (bits & {_BASE | _STRICT}) = 0 AS kept FROM b"""
 
-ORACLE_SQL = {"op1_secret_scan": OP1_SQL, "op2_warc": OP2_SQL, "op4_quality_rules": OP4_SQL}
+#: Every pair of documents that share a shingle is counted, and links are followed from each document.
+OP3_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_W}') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, 1 + CASE WHEN len(w) >= 5 THEN len(w) - 4 WHEN len(w) > 0 THEN 1 ELSE 0 END)) AS i FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM pair JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * pair.n >= 75 * (a.n + b.n - pair.n)),
+reach AS (SELECT doc_id, doc_id AS root FROM documents UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON r.root = l.x),
+part AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id),
+own AS (SELECT x AS doc_id, count(*) AS n_links FROM links GROUP BY x)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links
+FROM part LEFT JOIN n USING (doc_id) LEFT JOIN own USING (doc_id)"""
+
+ORACLE_SQL = {"op1_secret_scan": OP1_SQL, "op2_warc": OP2_SQL, "op3_jaccard_join": OP3_SQL, "op4_quality_rules": OP4_SQL}
