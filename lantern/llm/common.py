@@ -7,7 +7,10 @@ import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +37,26 @@ def n_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+def added(slices: DataFrame, kind: str, size: int, combine, once: bool = False) -> np.ndarray:
+    """Slices of arrays of a fixed total size, combined by part: the result is as large whatever the input. once: each
+    task's slices have different parts already."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                x = np.frombuffer(data.as_buffer(), kind)
+                total[part] = combine(total[part], x) if part in total else x.copy()
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["part", "counts"])
+
+    out = np.zeros(size, kind)
+    own = slices if once else slices.mapInArrow(run, "part int, counts binary")  # each task first adds up its own
+    for part, data in own.repartition(16, "part").mapInArrow(run, "part int, counts binary").collect():
+        x = np.frombuffer(data, kind)
+        out[part * len(x) : (part + 1) * len(x)] = x
+    return out
+
+
 def held_out(id_col: str = "doc_id"):
     """True where crc32 of the id as text leaves remainder 0 by 5; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0
@@ -42,8 +65,6 @@ def held_out(id_col: str = "doc_id"):
 def release() -> None:
     """Gives memory that a Python worker no longer uses back to the system, at the end of a task: workers wait for the
     next one, beside tasks that need the memory."""
-    import pyarrow as pa
-
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

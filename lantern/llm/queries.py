@@ -148,4 +148,14 @@ own AS (SELECT x AS doc_id, count(*) AS n_links FROM links GROUP BY x)
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links
 FROM part LEFT JOIN n USING (doc_id) LEFT JOIN own USING (doc_id)"""
 
-ORACLE_SQL = {"op1_secret_scan": OP1_SQL, "op2_warc": OP2_SQL, "op3_jaccard_join": OP3_SQL, "op4_quality_rules": OP4_SQL}
+#: Every window of 50 words as text; starts at most 50 words apart are one span.
+OP6_SQL = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_W}') AS w FROM documents WHERE text IS NOT NULL),
+win AS (SELECT doc_id, i, array_to_string(w[i + 1 : i + 50], ' ') AS k FROM (SELECT doc_id, w, unnest(range(0, len(w) - 49)) AS i FROM d WHERE len(w) >= 50)),
+twice AS (SELECT k FROM win GROUP BY k HAVING min(doc_id) <> max(doc_id)),
+hit AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM win WHERE k IN (SELECT k FROM twice)),
+island AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM hit),
+span AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM island GROUP BY doc_id, g)
+SELECT doc_id, count(*) AS n_spans, CAST(sum(b - a) AS BIGINT) AS n_repeated_words, string_agg(concat(a, ':', b), ',' ORDER BY a) AS spans FROM span GROUP BY doc_id"""
+
+ORACLE_SQL = {"op1_secret_scan": OP1_SQL, "op2_warc": OP2_SQL, "op3_jaccard_join": OP3_SQL, "op4_quality_rules": OP4_SQL, "op6_suffix_dedup": OP6_SQL}

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lantern.llm import textvec
-from lantern.llm.common import n_partitions, release, written
+from lantern.llm.common import added, n_partitions, release, written
 from lantern.llm.components import components, forest
 
 WORDS, PERCENT = 5, 75
@@ -132,26 +132,6 @@ def measured(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(run, f"id {id_type}, n long, s long, sig binary, k long, part int, counts binary")
 
 
-def _added(slices: DataFrame, kind: str, size: int, combine, once: bool = False) -> np.ndarray:
-    """Slices of arrays of a fixed total size, combined by part: the result is as large whatever the input. once: each
-    task's slices have different parts already."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for part, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                x = np.frombuffer(data.as_buffer(), kind)
-                total[part] = combine(total[part], x) if part in total else x.copy()
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["part", "counts"])
-
-    out = np.zeros(size, kind)
-    own = slices if once else slices.mapInArrow(run, "part int, counts binary")  # each task first adds up its own
-    for part, data in own.repartition(16, "part").mapInArrow(run, "part int, counts binary").collect():
-        x = np.frombuffer(data, kind)
-        out[part * len(x) : (part + 1) * len(x)] = x
-    return out
-
-
 def _classes(counts: np.ndarray) -> np.ndarray:
     """0 for counters of usual height; above, a class for each doubling."""
     usual = 2.0 * counts.mean() + 64
@@ -406,7 +386,7 @@ def fetched(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
         parts = [p for p in range(len(packed) // step) if packed[p * step : (p + 1) * step].any()]
         yield _batch([parts, [packed[p * step : (p + 1) * step].tobytes() for p in parts]], pa.schema([("part", pa.int32()), ("counts", pa.binary())]))
 
-    packed = _added(wanted.select("k").mapInArrow(bits, "part int, counts binary"), "u1", FILTER // 8, np.bitwise_or, once=True)
+    packed = added(wanted.select("k").mapInArrow(bits, "part int, counts binary"), "u1", FILTER // 8, np.bitwise_or, once=True)
     shared = docs.sparkSession.sparkContext.broadcast(packed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -559,7 +539,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     of_docs = rows.filter("n is not null").select("id", "n", "s")
     one = rows.filter("n > 0").groupBy("s").agg(F.min("id").alias("rep"), F.count("id").alias("w"), F.max("sig").alias("sig"), F.min("k").alias("k"), F.min("n").alias("n"))
     one = written(one, "distinct")
-    counts = _added(rows.filter("counts is not null").select("part", "counts"), "u4", SKETCH, np.add)
+    counts = added(rows.filter("counts is not null").select("part", "counts"), "u4", SKETCH, np.add)
     classes, cut = _classes(counts), _cuts(counts, hot)
     cuts = spark.sparkContext.broadcast(cut)
     dealt = postings(d, n, percent, spark.sparkContext.broadcast(classes), cuts, 4 * parts).repartition(parts, "bucket")

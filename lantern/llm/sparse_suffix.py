@@ -1,18 +1,25 @@
-"""Exact repeats across documents by a join of window fingerprints, dealt by minimisers.
-
-This stands in for a sparse suffix array: no suffixes are kept, sorted or extended. Every window of LENGTH words, at
-every word, has a fingerprint, and equal fingerprints of two ids are a repeat; windows that overlap or touch merge, so
-longer passages come out whole. Of the LENGTH - K + 1 K-grams of a window, the one with the least hash says only to
-which task the fingerprint goes: windows that follow one another mostly share it, and travel packed. A position and a
-fingerprint for nearly every word are sent, where a suffix array of minimisers would in theory keep one in 22.
-
-Fingerprints that two ids share within one chunk of input are settled there and sent once, so a passage that a third of
-all documents hold is not gathered whole; those of one id are sent from every place. Every word counts; nothing is
-capped.
+"""Exact repeats across documents by a sparse suffix array.
+
+1. Of the LENGTH - K + 1 K-grams of a passage of LENGTH words, the one of least hash (the first of equals) is its
+   minimiser. Suffixes are kept at minimisers alone, about one word in 22; a suffix stands for the passages whose
+   minimiser it starts with, LENGTH words that begin up to LENGTH - K words before it. Equal passages have equal
+   minimisers, so what two documents share meets at a suffix.
+2. The heads of suffixes, their first K words as one hash, are counted by hash, with partial counts in each task. Two
+   filters of fixed size, sent to all tasks, tell which heads two documents have and which stand over MANY suffixes.
+   Where the input outgrows the filters, more is sent, and nothing else changes.
+3. Suffixes of shared heads travel with the words around them that their passages cover, dealt by head. A task sorts
+   them by their words and compares neighbours. Going from long matches on the right to short ones, and so from short
+   ones on the left to long ones, it extends each to the left: suffixes with r words in common stand together, and
+   those among them with the same LENGTH - r words before are one passage, a repeat if two documents hold it.
+4. A head with over MANY suffixes, as of a line that a third of all documents hold, would gather in one task. Its
+   passages travel as hashes instead, each to a task of its own; those that several documents in a chunk of the input
+   hold are settled there and sent once, those of one document from every place.
+5. Passages that overlap or touch merge, so longer repeats come out whole. Every word counts; nothing is capped.
 
 Defined results: null or empty text, texts under LENGTH words and null ids give no rows; rows that share an id are one
 document, so they aren't repeats of each other; words are compared with A-Z lower-cased; positions count words; other
-columns are ignored; an empty table gives an empty result. Equality is that of 64-bit hashes.
+columns are ignored; an empty table gives an empty result. Equality is that of 64-bit hashes for heads and hashed
+passages and of 48-bit hashes, word by word, for the words around a head.
 """
 
 from __future__ import annotations
@@ -21,13 +28,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lantern.llm import textvec
-from lantern.llm.common import n_partitions
+from lantern.llm.common import added, n_partitions, release
 
 LENGTH, K = 50, 8
+#: Suffixes of one head that a task sorts, at most.
+MANY = 10_000
+#: Bits of the filters of shared heads and of those over MANY, and bytes of a slice of them.
+SHARED, FREQUENT, SLICE = 1 << 26, 1 << 22, 1 << 14
+#: Heads, and bytes of suffixes, that a task holds before it sends them.
+HEADS, HELD = 1 << 19, 24 << 20
 
 
 def _join(a: np.ndarray, b: np.ndarray, far: int) -> np.ndarray:
@@ -54,30 +67,47 @@ def spans_hash(h: np.ndarray, n: int) -> np.ndarray:
     return textvec.mix(out)
 
 
-def sliding_min(v: np.ndarray, n: int) -> np.ndarray:
-    """Least of v[i : i + n]."""
-    width = 1
+def sliding_least(v: np.ndarray, n: int) -> np.ndarray:
+    """Place of the least of v[i : i + n], the first of equals."""
+    best, width = np.arange(len(v)), 1
+    first = lambda a, b: np.where(v[a] <= v[b], a, b)
     while 2 * width <= n:
-        v, width = np.minimum(v[:-width], v[width:]), 2 * width
-    return np.minimum(v[: len(v) - (n - width)], v[n - width :]) if n > width else v
-
-
-def passages(buf: np.ndarray, offs: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text, first word, selecting hash and fingerprint of every passage of `length` words."""
-    starts, ends, first = textvec.words(buf, offs)
-    n = len(starts) - length + 1
-    if n <= 0:
-        z = np.zeros(0, np.uint64)
-        return z.astype(np.int64), z.astype(np.int64), z, z
-    h = textvec.word_hashes(textvec.lowered(buf), starts, ends)
-    row = np.repeat(np.arange(len(offs) - 1), np.diff(first))
-    inside = np.flatnonzero(row[:n] == row[length - 1 :])
-    select = sliding_min(spans_hash(h, k), length - k + 1)
-    return row[inside], inside - first[row[inside]], select[inside], spans_hash(h, length)[inside]
+        best, width = first(best[:-width], best[width:]), 2 * width
+    return first(best[: len(best) - (n - width)], best[n - width :]) if n > width else best
+
+
+class Suffixes:
+    """The suffixes at minimisers of some texts: text and word they start at (place counts words of all texts), hash of
+    the head, and how many words before them their passages begin, from `near` to `far`."""
+
+    def __init__(self, buf: np.ndarray, offs: np.ndarray, length: int, k: int):
+        starts, ends, self.first = textvec.words(buf, offs)
+        z = np.zeros(0, np.int64)
+        self.words, self.place, self.text, self.near, self.far, self.head = z.astype(np.uint64), z, z, z, z, z.astype(np.uint64)
+        n = len(starts) - length + 1
+        if n <= 0:
+            return
+        self.words = textvec.word_hashes(textvec.lowered(buf), starts, ends)
+        row = np.repeat(np.arange(len(offs) - 1), np.diff(self.first))
+        begin = np.flatnonzero(row[:n] == row[length - 1 :])  # passages inside one text
+        if not len(begin):
+            return
+        grams = spans_hash(self.words, k)
+        place = sliding_least(grams, length - k + 1)[begin]
+        run = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (begin[1:] != begin[:-1] + 1)]))
+        self.place = place[run]
+        self.far = self.place - begin[run]
+        self.near = self.place - begin[np.append(run[1:], len(begin)) - 1]
+        self.text, self.head = row[self.place], grams[self.place]
+
+
+def _bit(filter_: np.ndarray, head: np.ndarray) -> np.ndarray:
+    at = head >> np.uint64(64 - (8 * len(filter_)).bit_length() + 1)
+    return (filter_[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
 def shared_runs(mark: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Flags fingerprints that two documents or more have."""
+    """Flags marks that two documents or more have."""
     order = np.argsort(mark, kind="stable")
     m, d = mark[order], doc[order]
     at = np.flatnonzero(np.concatenate([[True], m[1:] != m[:-1]])) if len(m) else np.zeros(0, np.int64)
@@ -98,101 +128,224 @@ def intervals(doc: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray,
     return d[new], a[new], a[last] + length
 
 
-ROWS = pa.schema([("bucket", pa.int32()), ("doc", pa.binary()), ("at", pa.binary()), ("mark", pa.binary()), ("a", pa.int64()), ("b", pa.int64()), ("doc_id", pa.int64())])
-TYPES = "bucket int, doc binary, at binary, mark binary, a long, b long, doc_id long"
+def _cuts(key: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin, and the end."""
+    return np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]]) if len(key) else np.zeros(1, np.int64)
+
+
+COUNT = np.dtype([("head", "<u8"), ("low", "<i8"), ("high", "<i8"), ("n", "<i8")])
+
+
+def _added_up(rows: np.ndarray) -> np.ndarray:
+    """One row of COUNT for each head: the least and greatest document and how many suffixes."""
+    rows = rows[np.argsort(rows["head"], kind="stable")]
+    at = _cuts(rows["head"])[:-1]
+    out = rows[at]
+    out["low"], out["high"], out["n"] = np.minimum.reduceat(rows["low"], at), np.maximum.reduceat(rows["high"], at), np.add.reduceat(rows["n"], at)
+    return out
+
+
+def filters(docs: DataFrame, length: int, k: int, many: int) -> tuple[np.ndarray, np.ndarray]:
+    """The filters of heads that two documents have and, of those, of heads with over `many` suffixes, as packed bits."""
+    parts = n_partitions(docs.sparkSession)
+    buckets = 4 * parts
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def out() -> pa.RecordBatch:
+            own = _added_up(np.concatenate(held))
+            bucket = ((own["head"] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            cuts = _cuts(bucket)  # heads ascend, so a bucket holds a range of them
+            return pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]].astype(np.int32)), pa.array([own[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())], ["bucket", "data"])
+
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for lo, _, buf, offs in textvec.text_chunks(batch.column(1)):
+                x = Suffixes(buf, offs, length, k)
+                if not len(x.head):
+                    continue
+                own = np.empty(len(x.head), COUNT)
+                own["head"], own["low"], own["n"] = x.head, ids[lo + x.text], 1
+                own["high"] = own["low"]
+                held.append(_added_up(own))
+                if sum(map(len, held)) > HEADS:
+                    yield out()
+                    held = []
+        if held:
+            yield out()
+        release()
+
+    def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [np.frombuffer(x.as_buffer(), COUNT) for batch in batches for x in batch.column(1)]
+        if not rows:
+            return
+        own = _added_up(np.concatenate(rows))
+        own = own[own["low"] != own["high"]]
+        for bits, heads, base in ((SHARED, own["head"], 0), (FREQUENT, own["head"][own["n"] > many], SHARED // 8 // SLICE)):
+            at = (heads >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64)
+            cuts = _cuts(at // (8 * SLICE))
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                flags = np.zeros(8 * SLICE, bool)
+                flags[at[a:b] % (8 * SLICE)] = True
+                yield pa.RecordBatch.from_arrays([pa.array([base + at[a] // (8 * SLICE)], pa.int32()), pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())], ["part", "counts"])
+        del own
+        release()
+
+    dealt = docs.mapInArrow(count, "bucket int, data binary").repartition(parts, "bucket")
+    both = added(dealt.mapInArrow(flag, "part int, counts binary"), "u1", (SHARED + FREQUENT) // 8, np.bitwise_or, once=True)
+    return both[: SHARED // 8], both[SHARED // 8 :]
+
+
+def around(words: np.ndarray, place: np.ndarray, near: np.ndarray, far: np.ndarray, length: int, k: int) -> np.ndarray:
+    """48 bits of each word around the suffixes: length - k words before, the nearest first, and length words from them
+    on; 0 where no passage of the suffix goes."""
+    left = np.arange(1, length - k + 1)
+    right = np.arange(length)
+    at = np.concatenate([place[:, None] - left, place[:, None] + right], axis=1)
+    inside = np.concatenate([left <= far[:, None], right < length - near[:, None]], axis=1)
+    h = np.where(inside, words[np.where(inside, at, 0)], np.uint64(0))
+    return np.ascontiguousarray(h.view(np.uint16).reshape(len(place), -1, 4)[:, :, :3])
+
+
+def repeated(doc: np.ndarray, at: np.ndarray, near: np.ndarray, far: np.ndarray, words: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Document and first word of the passages that two documents hold, among the suffixes of whole heads."""
+    left, right = words[:, : length - k], np.ascontiguousarray(words[:, length - k :])
+    order = np.argsort(right.reshape(len(doc), -1).view(f"S{6 * length}").ravel(), kind="stable")
+    doc, at, near, far, left, right = doc[order], at[order], near[order], far[order], left[order], right[order]
+    # words that a suffix has in common with the one before it
+    differ = (right[1:] != right[:-1]).any(axis=2)
+    common = np.concatenate([[0], np.where(differ.any(axis=1), differ.argmax(axis=1), length)])
+    before = np.zeros(len(doc), np.uint64)
+    docs, starts = [], []
+    for o in range(length - k + 1):  # words before the suffix
+        if o:
+            word = left[:, o - 1].astype(np.uint64)
+            before = textvec.mix(before * np.uint64(textvec.BASE) + (word[:, 0] | word[:, 1] << np.uint64(16) | word[:, 2] << np.uint64(32)))
+        own = np.flatnonzero((near <= o) & (o <= far))
+        if len(own) > 1:
+            together = np.cumsum(common < length - o)[own]  # the suffixes with so many words in common
+            same = own[shared_runs(textvec.mix(before[own] + together.astype(np.uint64) * np.uint64(textvec.BASE)), doc[own])]
+            docs.append(doc[same])
+            starts.append(at[same] - o)
+    return (np.concatenate(docs), np.concatenate(starts)) if docs else (doc[:0], at[:0])
+
+
+ROWS = pa.schema([("bucket", pa.int64()), ("doc", pa.binary()), ("at", pa.binary()), ("near", pa.binary()), ("far", pa.binary()), ("data", pa.binary()), ("a", pa.int64()), ("b", pa.int64()), ("doc_id", pa.int64())])
+TYPES = "bucket long, doc binary, at binary, near binary, far binary, data binary, a long, b long, doc_id long"
 FOUND = pa.schema([("doc_id", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, k: int = K) -> DataFrame:
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, k: int = K, many: int = MANY) -> DataFrame:
     """doc_id, n_spans, n_repeated_words, spans ("first:end" in words, comma-joined) of documents with a passage of
-    `length` words or more that another document has. Ids are whole numbers."""
-    parts = n_partitions(docs.sparkSession)
+    `length` words or more that another document has. Ids are whole numbers; k is less than length."""
+    spark = docs.sparkSession
+    parts = n_partitions(spark)
     buckets = 4 * parts
     d = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-
-    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []
+    known = spark.sparkContext.broadcast(filters(d, length, k, many))
+
+    def settled(found) -> pa.RecordBatch:
+        n = len(found[0])
+        return pa.RecordBatch.from_arrays([pa.nulls(n, f.type) for f in list(ROWS)[:6]] + [pa.array(found[1]), pa.array(found[2]), pa.array(found[0])], schema=ROWS)
+
+    def packed(bucket: np.ndarray, doc: np.ndarray, at: np.ndarray, data: np.ndarray, near=None, far=None) -> pa.RecordBatch:
+        """A row for each bucket."""
+        order = np.argsort(bucket, kind="stable")
+        cuts = _cuts(bucket[order])
+        own = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        put = lambda x, kind: pa.array([x[i].astype(kind).tobytes() for i in own], pa.binary())
+        none = pa.nulls(len(own), pa.binary())
+        columns = [pa.array(bucket[order[cuts[:-1]]], pa.int64()), put(doc, np.int64), put(at, np.int32), none if near is None else put(near, np.uint8), none if far is None else put(far, np.uint8), put(data, data.dtype)]
+        return pa.RecordBatch.from_arrays(columns + [pa.nulls(len(own), pa.int64())] * 3, schema=ROWS)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared, frequent = known.value
+        held: dict[bool, list] = {False: [], True: []}
         size = 0
 
-        def out():
-            doc, at, select, mark = (np.concatenate(x) for x in zip(*held, strict=True))
-            bucket = (select % np.uint64(buckets)).astype(np.int32)
-            order = np.lexsort((select, bucket))
-            cuts = np.flatnonzero(np.concatenate([[True], bucket[order][1:] != bucket[order][:-1]])) if len(order) else []
-            for lo, hi in zip(cuts, [*cuts[1:], len(order)], strict=True):
-                own = order[lo:hi]
-                yield bucket[own[0]], doc[own].tobytes(), at[own].astype(np.int32).tobytes(), mark[own].tobytes()
-
-        def batch_of(sent, found):
-            n, m = len(sent), len(found[0]) if found else 0
-            cols = [[*x, *[None] * m] for x in zip(*sent, strict=True)] if n else [[None] * m] * 4
-            tail = [[*[None] * n, *x.tolist()] for x in (found[1], found[2], found[0])] if m else [[None] * n] * 3
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip([*cols, *tail], ROWS, strict=True)], schema=ROWS)
+        def out() -> Iterator[pa.RecordBatch]:
+            if held[False]:
+                doc, at, near, far, head, words = (np.concatenate(x) for x in zip(*held[False], strict=True))
+                yield packed((head % np.uint64(buckets)).astype(np.int64), doc, at, words, near, far)
+            if held[True]:
+                doc, at, mark = (np.concatenate(x) for x in zip(*held[True], strict=True))
+                yield packed((mark % np.uint64(buckets)).astype(np.int64) + buckets, doc, at, mark)
 
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for lo, _, buf, offs in textvec.text_chunks(batch.column(1)):
-                row, at, select, mark = passages(buf, offs, length, k)
-                doc = ids[lo + row] if len(row) else np.zeros(0, np.int64)
-                twice = shared_runs(mark, doc)
-                if twice.any():
-                    yield batch_of([], intervals(doc[twice], at[twice], length))
-                first = np.zeros(len(mark), bool)
-                first[np.unique(mark, return_index=True)[1]] = True
-                # a fingerprint of one id here is not settled: all its places may yet be shared with an id elsewhere
-                once = np.flatnonzero(first | ~twice)
-                held.append((doc[once], at[once], select[once], mark[once]))
-                size += len(once)
-                if size > 1_000_000:
-                    yield batch_of(list(out()), None)
-                    held, size = [], 0
-        if size:
-            yield batch_of(list(out()), None)
+                x = Suffixes(buf, offs, length, k)
+                some = _bit(shared, x.head)
+                usual = some & ~_bit(frequent, x.head)
+                own = np.flatnonzero(usual)
+                for at in np.split(own, np.arange(8192, len(own), 8192)):
+                    words = around(x.words, x.place[at], x.near[at], x.far[at], length, k)
+                    held[False].append((ids[lo + x.text[at]], x.place[at] - x.first[x.text[at]], x.near[at], x.far[at], x.head[at], words))
+                    size += words.nbytes
+                own = np.flatnonzero(some & ~usual)
+                if len(own):
+                    n = (x.far - x.near + 1)[own]
+                    of = np.repeat(own, n)
+                    begin = x.place[of] - x.far[of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+                    doc, at, mark = ids[lo + x.text[of]], begin - x.first[x.text[of]], spans_hash(x.words, length)[begin]
+                    twice = shared_runs(mark, doc)
+                    if twice.any():
+                        yield settled(intervals(doc[twice], at[twice], length))
+                    once = np.zeros(len(mark), bool)
+                    once[np.unique(mark, return_index=True)[1]] = True
+                    # a passage of one document here is not settled: all its places may yet be shared with one elsewhere
+                    once = np.flatnonzero(once | ~twice)
+                    held[True].append((doc[once], at[once], mark[once]))
+                    size += 20 * len(once)
+                if size > HELD:
+                    yield from out()
+                    held, size = {False: [], True: []}, 0
+        yield from out()
+        release()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs_, ats, marks = [], [], []
+        """Rows come sorted by bucket, so one is held at a time."""
+        held: list = []
+        now = None
+
+        def found() -> Iterator[pa.RecordBatch]:
+            doc, at = (np.concatenate([np.frombuffer(r[i], kind) for r in held]) for i, kind in ((0, np.int64), (1, np.int32)))
+            at = at.astype(np.int64)
+            if now < buckets:
+                near, far = (np.concatenate([np.frombuffer(r[i], np.uint8) for r in held]) for i in (2, 3))
+                words = np.concatenate([np.frombuffer(r[4], np.uint16) for r in held]).reshape(len(doc), 2 * length - k, 3)
+                doc, at = repeated(doc, at, near, far, words, length, k)
+            else:
+                same = shared_runs(np.concatenate([np.frombuffer(r[4], np.uint64) for r in held]), doc)
+                doc, at = doc[same], at[same]
+            if len(doc):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in intervals(doc, at, length)], schema=FOUND)
+
         for batch in batches:
-            for i in range(batch.num_rows):
-                if batch.column(0)[i].is_valid:
-                    docs_.append(np.frombuffer(batch.column(1)[i].as_buffer(), np.int64))
-                    ats.append(np.frombuffer(batch.column(2)[i].as_buffer(), np.int32))
-                    marks.append(np.frombuffer(batch.column(3)[i].as_buffer(), np.uint64))
-        if marks:
-            doc, at, mark = np.concatenate(docs_), np.concatenate(ats).astype(np.int64), np.concatenate(marks)
-            same = shared_runs(mark, doc)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in intervals(doc[same], at[same], length)], schema=FOUND)
-
-    sent = d.mapInArrow(suffixes, TYPES)
-    # rows that were settled in their chunk travel along, dealt by document
-    key = F.coalesce(F.col("bucket").cast("long"), F.lit(buckets).cast("long") + F.abs(F.col("doc_id") % buckets))
-    dealt = sent.withColumn("_key", key).repartition(parts, "_key").drop("_key")
-
-    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute as pc
-
-        kept = []
-
-        def own():
-            for batch in batches:
-                done = batch.filter(pc.is_valid(batch.column(6)))
-                if done.num_rows:
-                    kept.append(pa.RecordBatch.from_arrays([done.column(6), done.column(4), done.column(5)], schema=FOUND))
-                yield batch.filter(pc.is_valid(batch.column(0)))
-
-        yield from compare(own())
-        yield from kept
-
-    found = dealt.mapInArrow(settle, "doc_id long, a long, b long")
-    order = F.sort_array(F.collect_set(F.struct("a", "b")))  # of one document: as many as its words allow
-    start = F.array().cast("array<struct<a:bigint,b:bigint>>")
-
-    def merge(acc, x):
-        top = F.get(acc, F.size(acc) - 1)
-        more = F.concat(acc, F.array(x))
-        wide = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(top["a"].alias("a"), F.greatest(top["b"], x["b"]).alias("b"))))
-        return F.when((F.size(acc) == 0) | (x["a"] > F.coalesce(top["b"], F.lit(-1))), more).when(x["b"] <= top["b"], acc).otherwise(wide)
-
-    merged = found.groupBy("doc_id").agg(F.aggregate(order, start, merge).alias("s"))
-    words = F.aggregate("s", F.lit(0).cast("long"), lambda acc, x: acc + x["b"] - x["a"])
+            done = batch.filter(batch.column(8).is_valid())
+            if len(done):
+                yield pa.RecordBatch.from_arrays([done.column(8), done.column(6), done.column(7)], schema=FOUND)
+            for bucket, *row in zip(batch.column(0).to_pylist(), *(batch.column(i) for i in range(1, 6)), strict=True):
+                if bucket is None:
+                    continue
+                if held and bucket != now:
+                    yield from found()
+                    held = []
+                now = bucket
+                held.append([x.as_buffer() if x.is_valid else None for x in row])
+        if held:
+            yield from found()
+        release()
+
+    # what was settled in its chunk travels along, dealt by document
+    key = F.coalesce("bucket", F.lit(2 * buckets).cast("long") + F.abs(F.col("doc_id") % buckets))
+    dealt = d.mapInArrow(send, TYPES).withColumn("_key", key).repartition(parts, "_key").sortWithinPartitions("_key").drop("_key")
+    each = Window.partitionBy("doc_id").orderBy("a", "b")
+    found = dealt.mapInArrow(compare, "doc_id long, a long, b long")
+    reach = F.max("b").over(each.rowsBetween(Window.unboundedPreceding, -1))
+    found = found.withColumn("new", F.coalesce((F.col("a") > reach).cast("long"), F.lit(1).cast("long"))).withColumn("span", F.sum("new").over(each))
+    merged = found.groupBy("doc_id", "span").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    own = merged.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_spans"), F.sum(F.col("b") - F.col("a")).alias("n_repeated_words"), F.sort_array(F.collect_list(F.struct("a", "b"))).alias("s"))
     text = F.array_join(F.transform("s", lambda x: F.concat_ws(":", x["a"].cast("string"), x["b"].cast("string"))), ",")
-    return merged.select("doc_id", F.size("s").cast("long").alias("n_spans"), words.alias("n_repeated_words"), text.alias("spans"))
+    return own.select("doc_id", "n_spans", "n_repeated_words", text.alias("spans"))
