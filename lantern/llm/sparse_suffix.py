@@ -240,8 +240,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     """doc_id, n_spans, n_repeated_words, spans ("first:end" in words, comma-joined) of documents with a passage of
     `length` words or more that another document has. Ids are whole numbers; k is less than length."""
     spark = docs.sparkSession
-    parts = n_partitions(spark)
-    buckets = 4 * parts
+    parts = 2 * n_partitions(spark)  # what travels is more than the input's columns are in Parquet
+    buckets = 8 * parts
     d = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     known = spark.sparkContext.broadcast(filters(d, length, k, many))
 
