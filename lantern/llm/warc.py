@@ -1,13 +1,17 @@
 """WARC archives as a chunked record table.
 
-A record's bytes (WARC header, HTTP header, payload, trailer) are rows (record, chunk_no, data) of bounded size; rows in
-order are the archive, byte for byte. Writing and reading stream chunks and carry the payload's SHA-1 along, so neither
-allocates a whole record. Of equal payloads of at least min_bytes, the record with the largest id is a response and
-the others are revisits that refer to it; smaller payloads are all responses.
-
-Defined results: null html counts as empty; a null url leaves the target out; a null id stays null; rows that share the
-id of a response and its payload are responses too; line ends in urls are escaped; other columns are ignored; an empty
-table gives an empty archive. A record whose payload doesn't fit its digest, or that lacks chunks, raises ValueError.
+A record's bytes (WARC header, HTTP header, payload, trailer) are rows (key, chunk_no, data) of bounded size, key a number
+of the record's own; rows in order are the archive, byte for byte. Writing and reading stream chunks and carry the
+payload's SHA-1 along: a chunk holds the digest up to its end, and the reader compares its own after each chunk, so
+neither allocates a whole record and a damaged chunk is found where it is. Of equal payloads of at least min_bytes, the
+record with the largest id is a response and the others are revisits that refer to it; smaller payloads are all
+responses. Copies of one payload meet their response in many tasks.
+
+Defined results: null html counts as empty; a null url leaves the target out; a null id stays null and is less than any
+other, so of a null id and another with the same payload the null one is the revisit; rows that share the id of a
+response (a null one too, where no row of the payload has an id) and its payload are responses too; line ends in urls
+are escaped; other columns are ignored; an empty table gives an empty archive. A record whose payload doesn't fit its
+digests, or that lacks chunks, raises ValueError.
 """
 
 from __future__ import annotations
@@ -18,15 +22,18 @@ from collections.abc import Iterator
 from typing import BinaryIO
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lantern.llm.common import n_partitions, written
 
 CHUNK = 64 << 10
+#: Tasks that the copies of one payload are dealt to.
+SALTS = 32
 DATE = "2024-01-01T00:00:00Z"
-#: "running" is the bare base32 SHA-1 of the record's payload up to the end of the chunk.
-TABLE = "record long, chunk_no int, n_chunks int, data binary, running string"
+#: "key" tells records apart that share an id; "running" is the bare base32 SHA-1 of the payload up to the chunk's end.
+TABLE = "key long, record long, chunk_no int, n_chunks int, data binary, running string"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -74,12 +81,16 @@ def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """The chunk table of one record for each page."""
     d = pages.select(F.col(id_col).cast("long").alias("record"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     d = d.withColumn("sha", F.unhex(F.sha1(F.col("html").cast("binary"))))
-    first = d.filter(F.octet_length("html") >= min_bytes).groupBy("sha").agg(F.max("record").alias("response"))
-    decided = d.join(first, "sha", "left").select("record", "url", "response", F.when(F.col("record") < F.col("response"), F.lit(None)).otherwise(F.col("html")).alias("body"), F.octet_length("html").alias("n"), "sha")
+    copies = d.filter(F.octet_length("html") >= min_bytes).groupBy("sha").agg(F.max("record").alias("response"), F.count(F.lit(1)).alias("n"))
+    copies = copies.filter("n > 1").select("sha", "response", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    # pages without copies find nothing here
+    met = d.withColumn("salt", F.pmod(F.xxhash64("record", "url"), F.lit(SALTS)).cast("int")).join(copies, ["sha", "salt"], "left")
+    revisit = F.col("response").isNotNull() & ~F.col("record").eqNullSafe(F.col("response"))
+    decided = met.select("record", "url", "response", F.when(~revisit, F.col("html")).alias("body"), F.octet_length("html").alias("n"), "sha")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("record", pa.int64()), ("chunk_no", pa.int32()), ("n_chunks", pa.int32()), ("data", pa.binary()), ("running", pa.string())])
-        rows, held = [], 0
+        schema = pa.schema([("key", pa.int64()), ("record", pa.int64()), ("chunk_no", pa.int32()), ("n_chunks", pa.int32()), ("data", pa.binary()), ("running", pa.string())])
+        rows, held, key = [], 0, TaskContext.get().partitionId() << 33
         for batch in batches:
             for record, url, response, body, n, sha in zip(*(batch.column(i) for i in range(6)), strict=True):
                 record, response, digest = record.as_py(), response.as_py(), base64.b32encode(sha.as_py()).decode()
@@ -88,11 +99,12 @@ def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 payload = memoryview(b"" if revisit else body.as_buffer())
                 total = 1 + max(0, -(-(len(payload) - max(1, chunk - len(head))) // chunk))
                 for k, (data, running) in enumerate(chunks(head, payload, chunk)):
-                    rows.append((record, k, total, data, running))
+                    rows.append((key, record, k, total, data, running))
                     held += len(data)
                     if held > 4 << 20:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
                         rows, held = [], 0
+                key += 1
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
@@ -100,13 +112,13 @@ def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
 
 class _Reader:
-    """Takes a record's chunks in order; keeps its headers and the running digest."""
+    """Takes a record's chunks in order; keeps its headers and the running digest, which it holds against each chunk's."""
 
     def __init__(self, record):
         self.record, self.next, self.head, self.fields = record, 0, b"", None
         self.sha, self.left = hashlib.sha1(), 0
 
-    def feed(self, k: int, data: memoryview) -> None:
+    def feed(self, k: int, data: memoryview, running: str) -> None:
         if k != self.next:
             raise ValueError(f"record {self.record}: chunk {self.next} is missing")
         self.next += 1
@@ -124,6 +136,8 @@ class _Reader:
             data, self.head = memoryview(self.head)[http + 4 :], b""
         self.sha.update(data[: self.left])
         self.left -= min(self.left, len(data))
+        if base32(self.sha) != running:
+            raise ValueError(f"record {self.record}: chunk {k} doesn't fit its running digest")
 
     def row(self) -> tuple:
         if self.fields is None or self.left:
@@ -146,7 +160,7 @@ def read_archive(table: DataFrame) -> DataFrame:
         reader: _Reader | None = None
         for batch in batches:
             rows = []
-            for record, k, total, data in zip(*(batch.column(i) for i in range(4)), strict=True):
+            for record, k, total, data, running in zip(*(batch.column(i) for i in range(1, 6)), strict=True):
                 k = k.as_py()
                 if k == 0:
                     if reader is not None:
@@ -154,7 +168,7 @@ def read_archive(table: DataFrame) -> DataFrame:
                     reader = _Reader(record.as_py())
                 if reader is None:
                     raise ValueError(f"record {record}: chunk 0 is missing")
-                reader.feed(k, memoryview(data.as_buffer()))
+                reader.feed(k, memoryview(data.as_buffer()), running.as_py())
                 if k + 1 == total.as_py():
                     rows.append(reader.row())
                     reader = None
@@ -164,8 +178,8 @@ def read_archive(table: DataFrame) -> DataFrame:
             raise ValueError(f"record {reader.record} ends early")
 
     result = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    t = table.select("record", "chunk_no", "n_chunks", "data")
-    long = t.filter("n_chunks > 1").repartition(n_partitions(table.sparkSession), "record").sortWithinPartitions("record", "chunk_no")
+    t = table.select("key", "record", "chunk_no", "n_chunks", "data", "running")
+    long = t.filter("n_chunks > 1").repartition(n_partitions(table.sparkSession), "key").sortWithinPartitions("key", "chunk_no")
     return t.filter("n_chunks = 1").mapInArrow(run, result).unionByName(long.mapInArrow(run, result))
 
 
@@ -175,7 +189,7 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
 
 def export(rows: Iterator, out: BinaryIO) -> int:
-    """Writes rows of a chunk table, in order of record and chunk_no, as one .warc stream; returns its bytes."""
+    """Writes rows of a chunk table, in order of key and chunk_no, as one .warc stream; returns its bytes."""
     return sum(out.write(row["data"]) for row in rows)
 
 

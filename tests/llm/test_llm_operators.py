@@ -107,8 +107,9 @@ def test_redact(spark):
 
 
 def test_warc(spark):
-    rows = [(1, "http://a", "same"), (2, None, "same"), (3, "http://c\r\nX: y", ""), (4, "d", None), (5, "é", "é" * 5000), (6, "f", "é" * 5000), (7, "g", "big" * 3000), (8, "h", "same"), (None, "n", "lone")]
-    pages = spark.createDataFrame([(*r, "clash", 1) for r in rows], "page_id long, url string, html string, record string, chunk_no int")
+    rows = [(1, "http://a", "same"), (2, None, "same"), (3, "http://c\r\nX: y", ""), (4, "d", None), (5, "é", "é" * 5000), (6, "f", "é" * 5000), (7, "g", "big" * 3000), (8, "h", "same"), (None, "n", "lone"),
+            (None, "m", "same"), (None, "o", "nameless" * 300), (None, "p", "nameless" * 300), (7, "q", "big" * 3000), (7, "r", "other" * 2000), (2, "s", "same")]
+    pages = spark.createDataFrame([(*r, "clash", 1, "k") for r in rows], "page_id long, url string, html string, record string, chunk_no int, key string")
     for least, chunk in ((0, 64), (0, 1 << 16), (5, 1000)):
         top = defaultdict(lambda: -1)
         for i, _, h in rows:
@@ -116,13 +117,13 @@ def test_warc(spark):
         want = []
         for i, _, h in rows:
             raw = (h or "").encode()
-            revisit = i is not None and len(raw) >= least and top[h or ""] != i
+            revisit = len(raw) >= least and top[h or ""] != (-1 if i is None else i)
             want.append((str(i), len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "revisit" if revisit else "response", top[h or ""] if revisit else None))
         got = [(str(r["page_id"]), r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in warc.round_trip(pages, min_bytes=least, chunk=chunk).collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
     table = [r for r in warc.archive(pages.filter("page_id is not null"), chunk=64).collect()]
     assert max(len(r["data"]) for r in table) <= 64 + 600  # a head may be longer than a chunk
-    table.sort(key=lambda r: (r["record"], r["chunk_no"]))
+    table.sort(key=lambda r: (r["key"], r["chunk_no"]))
     out = io.BytesIO()
     warc.export(table, out)
     out.seek(0)
@@ -133,6 +134,11 @@ def test_warc(spark):
     lost = spark.createDataFrame([r for r in table if not (r["record"] == 7 and r["chunk_no"] == 3)], warc.TABLE)
     with pytest.raises(Exception, match="missing"):
         warc.read_archive(lost).collect()
+    spoilt = [r.asDict() for r in table]
+    own = next(r for r in spoilt if r["record"] == 6 and r["chunk_no"] == 4)
+    own["data"] = bytearray(b"?" + own["data"][1:])
+    with pytest.raises(Exception, match="chunk 4 doesn't fit"):
+        warc.read_archive(spark.createDataFrame([tuple(r.values()) for r in spoilt], warc.TABLE)).collect()
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
