@@ -6,6 +6,7 @@ space of the connection.
 
 from __future__ import annotations
 
+import json
 import logging
 import re
 import uuid
@@ -19,10 +20,10 @@ from pyspark.sql import types as T
 
 from lantern.errors import LanternError
 from lantern.functions.convert import to_client
-from lantern.params import bind, commas, split_at, tokens
+from lantern.params import adapted, bind, commas, first_values, split_at, tokens
 from lantern.plans import guard
 from lantern.session import isolated, session
-from lantern.sources.store import Store
+from lantern.sources.store import PART, Store
 
 log = logging.getLogger(__name__)
 apilevel, threadsafety, paramstyle = "2.0", 1, "pyformat"
@@ -31,6 +32,8 @@ _NAME = r"[`\"]?(\w+)[`\"]?"
 _INDEX = re.compile(rf"\s*CREATE\s+(UNIQUE\s+)?INDEX\s+(?:IF\s+NOT\s+EXISTS\s+)?{_NAME}\s+ON\s+{_NAME}\s*\((.+)\)\s*;?\s*$", re.I | re.S)
 _DROP_INDEX = re.compile(rf"\s*DROP\s+INDEX\s+(?:IF\s+EXISTS\s+)?{_NAME}(?:\s+ON\s+{_NAME})?\s*;?\s*$", re.I)
 _TABLE = re.compile(rf"\s*CREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?{_NAME}\s*(?:\((.*)\))?\s*;?\s*$", re.I | re.S)
+_AS = re.compile(rf"\s*CREATE\s+(?:(OR\s+REPLACE)\s+)?(TABLE|VIEW)\s+(?:IF\s+NOT\s+EXISTS\s+)?{_NAME}\s+AS\s+(.*?);?\s*$", re.I | re.S)
+_DROP_VIEW = re.compile(rf"\s*DROP\s+VIEW\s+(?:IF\s+EXISTS\s+)?{_NAME}\s*;?\s*$", re.I)
 _DROP = re.compile(rf"\s*DROP\s+TABLE\s+(?:IF\s+EXISTS\s+)?{_NAME}\s*;?\s*$", re.I)
 _TYPES = {"INTEGER": "INT", "TEXT": "STRING", "VARCHAR": "STRING", "CHAR": "STRING", "DATETIME": "TIMESTAMP", "REAL": "DOUBLE", "BOOL": "BOOLEAN", "BLOB": "BINARY", "SERIAL": "BIGINT", "NUMERIC": "DECIMAL"}
 _UNNAMED = re.compile(r"^(sum|avg|min|max|count)\((distinct )?(?:\w+\.)?(\w+)\)$", re.I)
@@ -51,6 +54,9 @@ class Cursor:
         self._reset()
 
     def _reset(self) -> None:
+        if getattr(self, "_kept", None) is not None:
+            self._kept.unpersist()
+        self._kept: DataFrame | None = None
         self.dataframe: DataFrame | None = None
         self.lastrowid: Any = None
         self._count = -1
@@ -83,8 +89,10 @@ class Cursor:
 
     @property
     def rowcount(self) -> int:
-        """Of a query: counted when asked for."""
+        """Of a query: counted when asked for; rows that were not fetched before are kept for that."""
         if self._count < 0 and self.dataframe is not None:
+            if self._rows is None:
+                self.dataframe = self._kept = self.dataframe.persist()
             self._count = self.dataframe.count()
         return self._count
 
@@ -111,15 +119,17 @@ class Cursor:
         if self._rows is None and self.dataframe is not None:
             self._open()
             self._rows = iter(())
-            return [tuple(to_client(v) for v in r) for r in self.dataframe.collect()]
+            rows = [tuple(to_client(v) for v in r) for r in self.dataframe.collect()]
+            self._count = len(rows)
+            return rows
         return list(self._next())
 
     def __iter__(self) -> Iterator[tuple]:
         return self._next()
 
     def close(self) -> None:
+        self._reset()
         self._closed = True
-        self._rows = None
 
     def __enter__(self) -> Cursor:
         return self
@@ -164,7 +174,7 @@ class Connection:
 
     def list_tables(self) -> list[str]:
         views = [t.name for t in self.spark.catalog.listTables() if t.name not in self._views]
-        return sorted({*self.store.tables(), *views})
+        return sorted({*self.store.tables(), *self.store.manifest().get("views", {}), *views})
 
     def has_table(self, name: str) -> bool:
         return name in self.list_tables()
@@ -172,17 +182,24 @@ class Connection:
     # statements
 
     def _refresh(self) -> None:
-        """Views of the store's tables as this connection sees them now."""
-        now = {name: str(t) for name, t in self.store.manifest()["tables"].items()}
+        """Views of the store's tables as this connection sees them now; the manifest that they show is kept."""
+        self._seen = self.store.manifest()
+        now = {name: str(t) for name, t in self._seen["tables"].items()} | {name: sql for name, sql in self._seen.get("views", {}).items()}
         for name in set(self._views) - set(now):
             self.spark.catalog.dropTempView(name)
+        changed = False
         for name, state in now.items():
-            if self._views.get(name) != state:
-                self.store.read(name).createOrReplaceTempView(name)
+            view = name in self._seen.get("views", {})
+            if self._views.get(name) != state or view and changed:
+                (self.spark.sql(state) if view else self.store.read(name, self._seen)).createOrReplaceTempView(name)
+                changed = True
         self._views = now
 
     def _query(self, sql: str, args: dict) -> DataFrame:
         self._refresh()
+        return self._planned(sql, args)
+
+    def _planned(self, sql: str, args: dict) -> DataFrame:
         try:
             return self.spark.sql(sql, args=args)
         except PySparkException as e:
@@ -192,6 +209,8 @@ class Connection:
         log.debug("execute %s", sql)
         text, args = bind(sql, params)
         kind = guard.kind(text)
+        if kind != "insert":
+            text, args = adapted(text, args)
         if kind == "create":
             return self._create(text)
         if kind == "drop":
@@ -210,7 +229,16 @@ class Connection:
 
     def _shaped(self, sql: str, args: dict) -> DataFrame:
         """Columns as clients expect them: `*` is alphabetical, of joins table by table; aggregates have plain names."""
-        df = self._query(sql, args)
+        try:
+            df = self._query(sql, args)
+        except LanternError as e:
+            grouped = first_values(sql) if self.profile != "strict" and "MISSING_AGGREGATION" in str(e) else None
+            if grouped is None:
+                raise
+            try:
+                df = self._query(grouped, args)
+            except LanternError:
+                raise e from None
         m = re.match(r"\s*SELECT\s+\*\s+FROM\s", sql, re.I)
         sides = self._sides(sql) if m else []
         if m and len(sides) > 1:
@@ -220,10 +248,17 @@ class Connection:
             return self._query(re.sub(r"\*", lambda _: ", ".join(columns), sql, count=1), args)
         if m:
             return df.select(*[F.col(f"`{c}`") for c in sorted(df.columns)])
-        names = []
-        for c in df.columns:
+        items = commas(split_at(sql, "SELECT", "FROM")[1])
+        names: list[str] = []
+        for k, c in enumerate(df.columns):
             agg = _UNNAMED.match(c)
-            names.append(c if not agg else "count" if agg[3] == "1" else f"{agg[1].lower()}_{agg[3]}")
+            if agg:
+                name = "count" if agg[3] == "1" else "_".join(filter(None, (agg[1].lower(), "distinct" if agg[2] else "", agg[3])))
+                name += f"_{names.count(name) + 1 + sum(n.startswith(f'{name}_') and n[len(name) + 1 :].isdigit() for n in names)}" if name in names else ""
+            else:
+                path = re.fullmatch(r"`\w+`(?:\.`\w+`)+", items[k]) if len(items) == len(df.columns) else None
+                name = path[0].replace("`", "") if path else c
+            names.append(name)
         return df.toDF(*names) if names != df.columns else df
 
     def _sides(self, sql: str) -> list[tuple[str, str]]:
@@ -255,8 +290,10 @@ class Connection:
         table, columns, body = m[1], m[2], m[3].rstrip("; \n")
         known = table in self.store.manifest()["tables"]
         names = [c.strip(' `"') for c in commas(columns)] if columns else [f.name for f in self.store.schema(table).fields] if known else None
+        if (given := re.match(r"VALUES\b", body, re.I)) and any(k == "word" and w.upper() == "SELECT" for k, w, _ in tokens(body)):
+            body, given = " UNION ALL ".join(f"SELECT {row[1:-1]}" for row in commas(body[6:])), None  # subqueries as values
         try:
-            rows = self._query(f"SELECT * FROM {body}" if re.match(r"VALUES\b", body, re.I) else body, args)
+            rows = self._query(f"SELECT * FROM {body}" if given else body, args)
         except LanternError as e:
             raise LanternError("E4", cause=e) if "INVALID_INLINE_TABLE" in str(e.__cause__) or "INLINE_TABLE" in str(e) else e
         if names is None:
@@ -297,30 +334,52 @@ class Connection:
         for part in commas(sets):
             name, _, expr = part.partition("=")
             changes[name.strip().strip('`"').split(".")[-1]] = expr.strip()
-        schema = self.store.schema(table)
-        if missing := set(changes) - {f.name for f in schema.fields}:
+        seen = self._matching(table, where, args)
+        fields = T.StructType.fromJson(json.loads(seen["schema"])).fields
+        if missing := set(changes) - {f.name for f in fields}:
             raise LanternError("E2", f"unknown column {', '.join(sorted(missing))}")
-        new = ", ".join(f"CAST(({changes[f.name]}) AS {f.dataType.simpleString()}) AS `__new_{f.name}`" for f in schema.fields if f.name in changes)
-        marked = self._query(f"SELECT *, coalesce(({where}), false) AS `__hit`, {new} FROM {table}{' AS ' + alias[2] if alias and alias[2] else ''}", args)
+        new = ", ".join(f"CAST(({changes[f.name]}) AS {f.dataType.simpleString()}) AS `__new_{f.name}`" for f in fields if f.name in changes)
         differs = F.lit(False)
         for c in changes:
             differs = differs | ~F.col(f"`{c}`").eqNullSafe(F.col(f"`__new_{c}`"))
-        count = marked.filter(F.col("__hit") & differs).count()
-        if count:
-            self.store.replace(table, marked.select(*[(F.when(F.col("__hit"), F.col(f"`__new_{f.name}`")).otherwise(F.col(f"`{f.name}`")) if f.name in changes else F.col(f"`{f.name}`")).alias(f.name) for f in schema.fields]))
-        return count
+        after = [(F.when(F.col("__hit"), F.col(f"`__new_{f.name}`")).otherwise(F.col(f"`{f.name}`")) if f.name in changes else F.col(f"`{f.name}`")).alias(f.name) for f in fields]
+        marked = lambda rows: self._planned(f"SELECT *, {new} FROM {rows}", args).withColumn("__hit", F.col("__hit") & differs)
+        return self._rewritten(table, alias[2] if alias else None, where, seen, marked, lambda df: df.select(*after, "__hit"), "__hit")
 
     def _delete(self, sql: str, args: dict) -> int:
         head, rest, where = split_at(sql, "FROM", "WHERE")
         if not where:
             raise LanternError("E3")
         table = self._target(rest)
-        self.store.schema(table)
-        marked = self._query(f"SELECT *, coalesce(({where}), false) AS `__hit` FROM {rest}", args)
-        count = marked.filter("__hit").count()
-        if count:
-            self.store.replace(table, marked.filter("not __hit").drop("__hit"))
-        return count
+        alias = re.match(rf"\s*{_NAME}(?:\s+(?:AS\s+)?(\w+))?", rest, re.I)[2]
+        seen = self._matching(table, where, args)
+        marked = lambda rows: self._planned(f"SELECT * FROM {rows}", args)
+        return self._rewritten(table, alias, where, seen, marked, lambda df: df.filter("not __hit").drop("__hit", PART), None)
+
+    def _matching(self, table: str, where: str, args: dict) -> dict:
+        """The table as this statement sees it; E3 for a condition that holds for every row."""
+        if guard.always(self.spark, where, args):
+            raise LanternError("E3")
+        self._refresh()
+        return self.store.table(table, self._seen)
+
+    def _rewritten(self, table: str, alias: str | None, where: str, seen: dict, marked, after, counted: str | None) -> int:
+        """Writes the parts that have hits anew, in one pass over them alone; returns how many rows that changed. marked:
+        from SQL of rows with the part they are in and whether the condition holds; after: what is written of them."""
+        name, view = alias or table, f"__rows_{table}"
+        rows = f"(SELECT {name}.*, coalesce(({where}), false) AS `__hit` FROM `{view}` AS {name}) AS {name}"
+        try:
+            self.store.rows(seen, marked=True).createOrReplaceTempView(view)
+            hit = {r[0] for r in marked(rows).filter("__hit").select(PART).distinct().collect()}
+            old = [p for p in seen["parts"] if p["path"].rpartition("/")[2] in hit]
+            if not old:
+                return 0
+            self.store.rows(seen, old, marked=True).createOrReplaceTempView(view)
+            return self.store.replace(table, seen, old, after(marked(rows)), counted)
+        except PySparkException as e:
+            raise _spark_error(e) from e
+        finally:
+            self.spark.catalog.dropTempView(view)
 
     # definitions
 
@@ -332,6 +391,13 @@ class Connection:
                 columns.append((name.strip('`"'), -1 if way and way[0].upper() == "DESC" else 1))
             self.store.create_index(m[2], m[3], columns, bool(m[1]))
             return None, 0, None
+        if m := _AS.match(sql):
+            if m[2].upper() == "VIEW":
+                self._query(m[4], {})
+                self.store.create_view(m[3], m[4], bool(m[1]))
+            elif not self.store.manifest()["tables"].get(m[3]):
+                self.store.insert(m[3], self._shaped(m[4], {}))
+            return None, 0, None
         m = _TABLE.match(sql)
         if not m:
             raise LanternError("E2" if re.match(r"\s*CREATE\s+(OR\s+REPLACE\s+)?(TEMP\w*\s+)?VIEW|\s*CREATE\s+TABLE", sql, re.I) else "E5", "STATEMENT")
@@ -350,6 +416,8 @@ class Connection:
     def _drop(self, sql: str) -> tuple[None, int, None]:
         if m := _DROP_INDEX.match(sql):
             self.store.drop_index(m[1])
+        elif m := _DROP_VIEW.match(sql):
+            self.store.drop_view(m[1])
         elif m := _DROP.match(sql):
             self.store.drop(m[1])
         else:

@@ -23,6 +23,17 @@ def neighbour(df: DataFrame, col: str, order, partition=(), offset: int = 1, ali
     return df.withColumn(alias, F.lag(col, offset).over(Window.partitionBy(*partition).orderBy(*order)))
 
 
+def tiles(df: DataFrame, n: int, order, partition=(), alias: str = "tile") -> DataFrame:
+    """df with the number, from 1, of the n parts of like size that each row of a window falls into."""
+    return df.withColumn(alias, F.ntile(n).over(Window.partitionBy(*partition).orderBy(*order)))
+
+
+def ranged(df: DataFrame, value, order, below, above, partition=(), alias: str = "ranged") -> DataFrame:
+    """df with an aggregate over the rows whose value of the one number `order` lies from `below` under to `above` over
+    that of each row; rows with equal values share a frame."""
+    return df.withColumn(alias, value.over(Window.partitionBy(*partition).orderBy(order).rangeBetween(-below, above)))
+
+
 def framed(df: DataFrame, value, order, partition=(), preceding: int | None = None, following: int = 0, alias: str = "framed") -> DataFrame:
     """df with an aggregate over the rows from `preceding` before (None: all) to `following` after each row."""
     start = Window.unboundedPreceding if preceding is None else -preceding

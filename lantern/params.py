@@ -89,3 +89,44 @@ def commas(sql: str) -> list[str]:
                 out.append(sql[start:at].strip())
                 start = at + 1
     return [*out, sql[start:].strip()]
+
+
+def _bare(pattern: str) -> str:
+    return pattern[1:-1] if len(pattern) > 1 and pattern[0] == pattern[-1] == "/" else pattern
+
+
+def adapted(sql: str, args: dict[str, Any]) -> tuple[str, dict[str, Any]]:
+    """Patterns of REGEXP and RLIKE without their slashes, as text or as parameters, and quoted "a.b" as a path."""
+    out, args, after, marker = [], dict(args), False, False
+    for kind, text, _ in tokens(sql):
+        if kind == "quoted" and text[0] == '"' and "." in text:
+            text = ".".join(f"`{x}`" for x in text[1:-1].split("."))
+        elif kind == "quoted" and text[0] == "'" and after:
+            text = f"'{_bare(text[1:-1])}'"
+        elif kind == "word" and marker and isinstance(args.get(text), str):
+            args[f"{text}_pattern"] = _bare(args[text])  # the same name may stand elsewhere
+            text += "_pattern"
+        marker = after and text == ":"
+        after = kind == "word" and text.upper() in ("REGEXP", "RLIKE") or after and (text.isspace() or marker)
+        out.append(text)
+    text = "".join(out)
+    used = {m for m in re.findall(r":(\w+)", text)}
+    return text, {k: v for k, v in args.items() if k in used}
+
+
+def first_values(sql: str) -> str | None:
+    """A grouped query with the first value of a group for columns that are neither keys nor in an aggregate; None if it
+    isn't one."""
+    head, items, rest = split_at(sql, "SELECT", "FROM")
+    _, keys = split_at(rest, "GROUP")
+    if head or not keys or split_at(rest, "UNION")[1]:
+        return None
+    keys = re.split(r"\b(?:HAVING|ORDER|LIMIT|OFFSET)\b", keys, maxsplit=1, flags=re.I)[0]
+    plain = lambda x: x.strip().strip("`").split(".")[-1].strip("`").lower()
+    named = {plain(k) for k in commas(re.sub(r"^BY\b", "", keys, flags=re.I))}
+    out = []
+    for item in commas(items):
+        m = re.fullmatch(r"([\w.`]+)(?:\s+(?:AS\s+)?(\w+))?", item)
+        own = m and not m[1][0].isdigit() and plain(m[1]) not in named and not re.fullmatch(r"NULL|TRUE|FALSE", m[1], re.I)
+        out.append(f"first({m[1]}) AS `{m[2] or plain(m[1])}`" if own else item)
+    return f"SELECT {', '.join(out)} FROM {rest}"

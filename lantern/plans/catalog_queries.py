@@ -5,7 +5,6 @@ Sums of money are exact decimals before they become doubles, so no result depend
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -13,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lantern.dbapi import connect
+from lantern.errors import LanternError
 from lantern.operators import aggregates as agg
 from lantern.operators import filters as f
 from lantern.operators import joins as j
@@ -20,6 +20,7 @@ from lantern.operators import ordering as o
 from lantern.operators import setops as u
 from lantern.operators import subqueries as q
 from lantern.operators import windows as w
+from lantern.session import shared_dir
 from lantern.sources.tables import scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -232,11 +233,11 @@ def join_group(t):
 
 
 def _outer(t, how: str) -> DataFrame:
-    docs = t("documents").filter("doc_id % 3 <> 0").select("doc_id", "lang")
-    return j.equi_join(docs, t("labels").withColumnRenamed("doc_id", "l_doc_id"), [("doc_id", "l_doc_id")], how).select("doc_id", "lang", "l_doc_id", "quality")
+    """Sizes over 24 are no nation's key, and key 0 is no part's size, so either side has rows without a match."""
+    return j.equi_join(t("part"), t("nation"), [("p_size", "n_nationkey")], how).select("p_partkey", "p_size", "n_nationkey", "n_name")
 
 
-_OUTER = "SELECT d.doc_id, lang, l.doc_id AS l_doc_id, quality FROM (SELECT * FROM documents WHERE doc_id % 3 <> 0) d {} JOIN labels l ON d.doc_id = l.doc_id"
+_OUTER = "SELECT p_partkey, p_size, n_nationkey, n_name FROM part {} JOIN nation ON p_size = n_nationkey"
 
 
 @query(_OUTER.format("RIGHT"))
@@ -404,6 +405,16 @@ def window_frames(t):
     return w.framed(df, F.sum("p_size"), ["p_partkey"], ["p_brand"], alias="so_far").select("p_partkey", "near", "so_far")
 
 
+@query("SELECT c_custkey, ntile(4) OVER (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey) AS tile FROM customer")
+def window_ntile(t):
+    return w.tiles(t("customer"), 4, ["c_acctbal", "c_custkey"], ["c_nationkey"]).select("c_custkey", "tile")
+
+
+@query("SELECT p_partkey, CAST(count(*) OVER (PARTITION BY p_brand ORDER BY p_size RANGE BETWEEN 5 PRECEDING AND 3 FOLLOWING) AS BIGINT) AS like_size FROM part")
+def window_range_frame(t):
+    return w.ranged(t("part"), F.count(F.lit(1)), "p_size", 5, 3, ["p_brand"], "like_size").select("p_partkey", "like_size")
+
+
 # order and pages
 
 
@@ -505,8 +516,7 @@ def correlated_exists(t):
 
 def _db(spark: SparkSession, folder: str, *names: str):
     """A connection to a store of its own that sees the named tables."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/lantern-shared"
-    db = connect(f"{base.rstrip('/')}/store-{uuid.uuid4().hex}", "main", spark=spark)
+    db = connect(f"{shared_dir(spark)}/store-{uuid.uuid4().hex}", "main", spark=spark)
     for name in names:
         scan(db.spark, folder, name).createOrReplaceTempView(name)
     return db
@@ -541,3 +551,109 @@ sql_query("join_derived_table", [_DERIVED], _DERIVED, "customer", "orders")
 sql_query("union_all_offset", ["SELECT n_nationkey AS k FROM nation UNION ALL SELECT r_regionkey FROM region ORDER BY k DESC LIMIT 7 OFFSET 4"], "SELECT n_nationkey AS k FROM nation UNION ALL SELECT r_regionkey FROM region ORDER BY k DESC LIMIT 7 OFFSET 4", "nation", "region")
 sql_query("dml_update_scalar_subquery", [*_COPY, "UPDATE n SET n_regionkey = (SELECT max(r_regionkey) FROM region) WHERE n_nationkey < 5", _ALL], "SELECT n_nationkey, n_name, CASE WHEN n_nationkey < 5 THEN (SELECT max(r_regionkey) FROM region) ELSE n_regionkey END AS n_regionkey FROM nation", "nation", "region")
 sql_query("dml_insert_many_rows", [*_COPY, "INSERT INTO n (n_nationkey, n_name, n_regionkey) VALUES (90, 'A', 1), (91, NULL, 2)", _ALL], "SELECT * FROM nation UNION ALL SELECT 90, 'A', 1 UNION ALL SELECT 91, NULL, 2", "nation")
+
+
+# the same inventory through SQL text
+
+
+def sql_same(name: str, sql: str, *tables: str) -> None:
+    """A SELECT that DuckDB takes as it stands."""
+    sql_query(name, [sql], sql, *tables)
+
+
+sql_query("sql_regexp_slashes", ["SELECT p_partkey, p_name FROM part WHERE p_name REGEXP '/^blue/'"], "SELECT p_partkey, p_name FROM part WHERE regexp_matches(p_name, '^blue')", "part")
+sql_query("sql_regexp_parameter", [("SELECT p_partkey, p_name FROM part WHERE p_name RLIKE %(p)s AND p_name <> %(p)s", {"p": "/l$/"})], "SELECT p_partkey, p_name FROM part WHERE regexp_matches(p_name, 'l$')", "part")
+sql_same("sql_star", "SELECT * FROM nation", "nation")
+sql_same("sql_bare_boolean", "SELECT c_custkey FROM (SELECT c_custkey, c_acctbal > 5000 AS rich FROM customer) x WHERE rich AND 3 < c_custkey", "customer")
+sql_same("sql_join_on_either_side", "SELECT c_custkey, n_name FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA'", "customer", "nation", "region")
+sql_same("sql_join_natural", "SELECT n_name, r_name FROM nation NATURAL JOIN (SELECT r_regionkey AS n_regionkey, r_name FROM region) r", "nation", "region")
+sql_same("sql_join_comma", "SELECT n_name, r_name FROM nation, region WHERE n_regionkey = r_regionkey", "nation", "region")
+sql_same("sql_window_outer_order", "SELECT * FROM (SELECT c_custkey, rank() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS r FROM customer) x ORDER BY r, c_custkey LIMIT 30 OFFSET 5", "customer")
+sql_same("sql_window_join", "SELECT c_custkey, n_name, row_number() OVER (PARTITION BY n_name ORDER BY c_custkey) AS rn FROM customer JOIN nation ON c_nationkey = n_nationkey", "customer", "nation")
+sql_same("sql_window_group", "SELECT c_nationkey, count(*) AS n, rank() OVER (ORDER BY count(*) DESC, c_nationkey) AS r FROM customer GROUP BY c_nationkey", "customer")
+sql_same("sql_window_subquery", "SELECT k, n, dense_rank() OVER (ORDER BY n DESC) AS r FROM (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY o_custkey) x WHERE k IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)", "orders", "customer")
+sql_same("sql_order_ordinal", "SELECT o_custkey, o_orderkey FROM orders ORDER BY 1 DESC, o_orderkey % 7, 2 LIMIT 40", "orders")
+sql_same("sql_order_of_subquery", "SELECT k FROM (SELECT o_orderkey AS k FROM orders ORDER BY k LIMIT 100) x WHERE k % 3 = 1", "orders")
+sql_same("sql_page_of_subquery", "SELECT k FROM (SELECT o_orderkey AS k FROM orders ORDER BY k DESC LIMIT 50 OFFSET 10) x ORDER BY k LIMIT 20 OFFSET 4", "orders")
+sql_same("sql_union_subquery_branch", "SELECT n_nationkey AS k FROM nation WHERE n_regionkey IN (SELECT r_regionkey FROM region WHERE r_regionkey > 2) UNION ALL SELECT r_regionkey FROM (SELECT * FROM region) x", "nation", "region")
+sql_same("sql_rollup", "SELECT n_regionkey, count(*) AS n FROM nation GROUP BY ROLLUP (n_regionkey)", "nation")
+sql_same("sql_grouping_sets", "SELECT c_mktsegment, c_nationkey, count(*) AS n FROM customer GROUP BY GROUPING SETS ((c_mktsegment), (c_nationkey), ())", "customer")
+sql_same("sql_group_items", "SELECT n_regionkey + 1 AS k, 'x' AS s, max(n_name) AS top, count(*) * 2 AS twice FROM nation GROUP BY n_regionkey", "nation")
+sql_query("sql_group_first_value", ["SELECT n_nationkey, n_name, COUNT(*) AS n FROM nation JOIN customer ON n_nationkey = c_nationkey GROUP BY n_nationkey HAVING n > 2"], "SELECT n_nationkey, min(n_name) AS n_name, count(*) AS n FROM nation JOIN customer ON n_nationkey = c_nationkey GROUP BY n_nationkey HAVING count(*) > 2", "nation", "customer")
+sql_query("sql_aggregate_names", ["SELECT n_regionkey, COUNT(*), COUNT(*), COUNT(n_name), COUNT(DISTINCT n_name), MAX(n_nationkey) FROM nation GROUP BY n_regionkey"], "SELECT n_regionkey, count(*) AS count, count(*) AS count_2, count(n_name) AS count_n_name, count(DISTINCT n_name) AS count_distinct_n_name, max(n_nationkey) AS max_n_nationkey FROM nation GROUP BY n_regionkey", "nation")
+sql_query("dml_insert_no_columns", [*_COPY, "INSERT INTO n VALUES (98, 'LAST', 4)", _ALL], "SELECT * FROM nation UNION ALL SELECT 98, 'LAST', 4", "nation")
+sql_query("dml_insert_subquery_value", [*_COPY, "INSERT INTO n (n_nationkey, n_name) VALUES ((SELECT max(n_nationkey) + 1 FROM nation), 'NEXT'), (97, (SELECT min(r_name) FROM region))", _ALL], "SELECT * FROM nation UNION ALL SELECT max(n_nationkey) + 1, 'NEXT', NULL FROM nation UNION ALL SELECT 97, min(r_name), NULL FROM region", "nation", "region")
+sql_query("dml_drop_table", [*_COPY, "DROP TABLE n", *_COPY, _ALL], "SELECT * FROM nation", "nation")
+sql_query("ddl_indexes", [*_COPY, "CREATE UNIQUE INDEX ix ON n (n_nationkey DESC)", "CREATE INDEX n ON n (n_name)", "DROP INDEX n", "DROP INDEX ix ON n", "INSERT INTO n (n_nationkey) VALUES (1)", _ALL], "SELECT * FROM nation UNION ALL SELECT 1, NULL, NULL", "nation")
+sql_query("ddl_create_as", ["CREATE TABLE big AS SELECT o_custkey AS k, COUNT(*) FROM orders GROUP BY o_custkey", "SELECT k, count FROM big WHERE count > 5"], "SELECT o_custkey AS k, count(*) AS count FROM orders GROUP BY o_custkey HAVING count(*) > 5", "orders")
+sql_query("ddl_view", [*_COPY, "CREATE VIEW low AS SELECT n_nationkey FROM n WHERE n_regionkey < 2", "INSERT INTO n (n_nationkey, n_regionkey) VALUES (55, 0)", "SELECT n_nationkey FROM low"], "SELECT n_nationkey FROM nation WHERE n_regionkey < 2 UNION ALL SELECT 55", "nation")
+
+
+def _registered(name: str, oracle: str):
+    def register(fn):
+        QUERIES[name], ORACLE[name] = fn, oracle
+        return fn
+
+    return register
+
+
+@_registered("sql_nested_path", "SELECT n_nationkey AS inner_k, n_name FROM nation WHERE n_nationkey > 3")
+def _nested_path(spark, folder):
+    """"s.k" is a path; the result's column has that name, without the dot here."""
+    db = _db(spark, folder, "nation")
+    db.spark.sql("SELECT named_struct('k', n_nationkey) AS s, n_name FROM nation").createOrReplaceTempView("nested")
+    return db.cursor().execute('SELECT "s.k", n_name FROM nested WHERE "s.k" > 3').dataframe.withColumnRenamed("s.k", "inner_k")
+
+
+@_registered("sql_window_no_alias", "SELECT c_custkey, rank() OVER (ORDER BY c_custkey) AS r FROM customer WHERE c_nationkey = 3")
+def _window_no_alias(spark, folder):
+    """The window's column has a name of Spark's own."""
+    return _db(spark, folder, "customer").cursor().execute("SELECT c_custkey, rank() OVER (ORDER BY c_custkey) FROM customer WHERE c_nationkey = 3").dataframe.toDF("c_custkey", "r")
+
+
+@_registered("sql_join_star", "SELECT n_name, n_nationkey, n_regionkey, r_name AS __join1_r_name, r_regionkey AS __join1_r_regionkey FROM nation JOIN region ON n_regionkey = r_regionkey")
+def _join_star(spark, folder):
+    df = _db(spark, folder, "nation", "region").cursor().execute("SELECT * FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey").dataframe
+    return df.toDF(*[c.replace(".", "_") for c in df.columns])
+
+
+@_registered("executemany", "SELECT r_regionkey AS k, r_name AS s FROM region")
+def _executemany(spark, folder):
+    rows = [(r["r_regionkey"], r["r_name"]) for r in scan(spark, folder, "region").collect()]  # five
+    cur = _db(spark, folder).cursor()
+    cur.executemany("INSERT INTO t (k, s) VALUES (%s, %s)", rows)
+    return cur.execute("SELECT k, s FROM t").dataframe
+
+
+@_registered("list_tables", "SELECT * FROM (VALUES ('a', true), ('b', false), ('nation', true)) x(name, there)")
+def _list_tables(spark, folder):
+    db = _db(spark, folder, "nation")
+    for name in "ab":
+        db.cursor().execute(f"CREATE TABLE {name} (k INT)")
+    db.cursor().execute("DROP TABLE b")
+    return spark.createDataFrame([(n, db.has_table(n)) for n in sorted({*db.list_tables(), "b"})], "name string, there boolean")
+
+
+#: Statement, parameters, code and whether the strict profile is needed.
+_REJECTED = [
+    ("no where", "DELETE FROM n", None, "E3", False), ("literal true", "DELETE FROM n WHERE true", None, "E3", False), ("always true", "UPDATE n SET n_name = 'x' WHERE 1 = 1", None, "E3", False),
+    ("true parameter", "DELETE FROM n WHERE %s", (True,), "E3", False), ("row of two", "INSERT INTO n (n_nationkey) VALUES (1, 2)", None, "E4", False), ("too few", "SELECT n_name FROM n WHERE n_nationkey = %s", (), "E4", False),
+    ("having", "SELECT n_regionkey, count(*) AS c FROM n GROUP BY n_regionkey HAVING n_name > 'x'", None, "E2", False), ("rank without order", "SELECT rank() OVER (PARTITION BY n_name) AS r FROM n", None, "E2", False),
+    ("merge", "MERGE INTO n USING n AS s ON n.n_nationkey = s.n_nationkey WHEN MATCHED THEN DELETE", None, "E2", False), ("syntax", "SELCT 1", None, "E5", False), ("no table", "UPDATE nothing SET a = 1 WHERE a = 2", None, "E5", False),
+    ("full join", "SELECT a.n_name FROM n a FULL JOIN n b ON a.n_name = b.n_name", None, "E2", True), ("theta join", "SELECT a.n_name FROM n a JOIN n b ON a.n_name > b.n_name", None, "E2", True), ("union", "SELECT n_name FROM n UNION SELECT n_name FROM n", None, "E2", True),
+]
+
+
+@_registered("rejected_statements", "SELECT * FROM (VALUES " + ", ".join(f"('{what}', '{code}')" for what, _, _, code, _ in _REJECTED) + ") x(what, code)")
+def _rejected(spark, folder):
+    db, rows = _db(spark, folder, "nation"), []
+    for s in _COPY:
+        db.cursor().execute(s)
+    for what, sql, params, _, strict in _REJECTED:
+        db.profile = "strict" if strict else "extended"
+        try:
+            db.cursor().execute(sql, params)
+            rows.append((what, "none"))
+        except LanternError as e:
+            rows.append((what, e.code))
+    return spark.createDataFrame(rows, "what string, code string")

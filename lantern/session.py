@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+
 from pyspark.sql import SparkSession
 
 CONF = {
@@ -24,3 +27,15 @@ def isolated(spark: SparkSession) -> SparkSession:
     for k, v in CONF.items():
         own.conf.set(k, v)
     return own
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, which all executors share. Where that is unset, a temporary one, if the session
+    is one process; on a cluster it has to be set."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        path = "file://" + os.path.join(tempfile.gettempdir(), "lantern-shared")
+        spark.conf.set("spark.checkpoint.dir", path)
+    return path.rstrip("/")
