@@ -82,7 +82,8 @@ def check(plan, profile: str = "extended") -> None:
 
 def always(spark, where: str, args: dict) -> bool:
     """Whether a condition holds whatever the row, as TRUE or 1 = 1 do: it names no column and is true."""
-    if any(k == "word" and text.upper() == "SELECT" for k, text, _ in tokens(where)):
+    names = {_name(n) for n in _nodes(json.loads(parse(spark, f"SELECT ({where})").toJSON()))}
+    if any(n.startswith("UnresolvedAttribute") or "Subquery" in n or n in ("Exists", "ListQuery") for n in names):
         return False
     try:
         return bool(spark.sql(f"SELECT coalesce(CAST(({where}) AS BOOLEAN), false)", args=args).first()[0])
