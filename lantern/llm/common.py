@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -14,14 +12,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lantern.session import shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests), a temporary one of this session."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + os.path.join(tempfile.gettempdir(), "lantern-shared")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+
+#: Bytes in Parquet up to which a written table may be broadcast.
+SMALL = 2 << 20
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -29,7 +24,33 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lantern-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def _file(table: DataFrame):
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table._written)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def forget(*tables: DataFrame) -> None:
+    """Removes written tables that nothing reads any more."""
+    for table in tables:
+        fs, path = _file(table)
+        fs.delete(path, True)
+
+
+def is_small(table: DataFrame) -> bool:
+    """Whether a written table's files are within SMALL."""
+    fs, path = _file(table)
+    return fs.getContentSummary(path).getLength() <= SMALL
+
+
+def small(table: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if it is small; else joins shuffle it."""
+    return F.broadcast(table) if is_small(table) else table
 
 
 def n_partitions(spark: SparkSession) -> int:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lantern.llm import textvec
-from lantern.llm.common import added, n_partitions, release, written
+from lantern.llm.common import added, forget, n_partitions, release, written
 from lantern.llm.components import components, forest
 
 WORDS, PERCENT = 5, 75
@@ -537,7 +537,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     d = d.withColumn("k", F.xxhash64("id", "text"))
     rows = written(measured(d, n), "sets")
     of_docs = rows.filter("n is not null").select("id", "n", "s")
-    one = rows.filter("n > 0").groupBy("s").agg(F.min("id").alias("rep"), F.count("id").alias("w"), F.max("sig").alias("sig"), F.min("k").alias("k"), F.min("n").alias("n"))
+    one = rows.filter("n > 0").groupBy("s").agg(F.min("id").alias("rep"), F.count("id").alias("w"), F.count(F.lit(1)).alias("m"), F.max("sig").alias("sig"), F.min("k").alias("k"), F.min("n").alias("n"))
     one = written(one, "distinct")
     counts = added(rows.filter("counts is not null").select("part", "counts"), "u4", SKETCH, np.add)
     classes, cut = _classes(counts), _cuts(counts, hot)
@@ -555,17 +555,23 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     wanted = written(groups.select(F.col("id").alias("s"), F.col("component").alias("c")).join(one.select("s", "w", "k", "n"), "s"), "members")
     sets = fetched(d, wanted, n).dropDuplicates(["k"])
     links = written(answered(_pieces(wanted, sets, block, work, parts), percent), "answers")
+    forget(found, edges, wanted)
     labels = components(links.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))
     n_links = links.groupBy(F.col("id").alias("s")).agg(F.sum("links").alias("links"))
     # names of sets -> the least id of all rows whose sets are in the component
-    named = one.select("s", "rep", "w").join(labels.withColumnRenamed("id", "s"), "s", "left").join(n_links, "s", "left")
+    named = one.select("s", "rep", "w", "m").join(labels.withColumnRenamed("id", "s"), "s", "left").join(n_links, "s", "left")
     named = named.withColumn("links", F.coalesce("links", F.lit(0).cast("long")) + F.greatest(F.col("w") - 1, F.lit(0).cast("long")))
-    linked = named.filter("component is not null").withColumn("salt", F.pmod(F.xxhash64("s"), F.lit(SALTS)))
+    salt_of = lambda c: F.pmod(F.xxhash64(c), F.lit(SALTS))
+    every = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    linked = named.filter("component is not null").withColumn("salt", salt_of("s"))
     # the sets of a large component meet its least id in many tasks
-    whole = linked.groupBy("component").agg(F.min("rep").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    alone = named.filter("component is null").select("s", F.col("rep").alias("component_id"), "links")
-    by_set = linked.join(whole, ["component", "salt"]).select("s", "component_id", "links").unionByName(alone)
+    whole = linked.groupBy("component").agg(F.min("rep").alias("component_id")).withColumn("salt", F.explode(every))
+    alone = named.filter("component is null").select("s", F.col("rep").alias("component_id"), "links", "rep", "m")
+    by_set = linked.join(whole, ["component", "salt"]).select("s", "component_id", "links", "rep", "m").unionByName(alone)
+    # and so do the rows of a set that many have; a row of its own is the one of its set's id
+    by_set = by_set.select("s", "component_id", "links", F.explode(F.when(F.col("m") > 1, every).otherwise(F.array(salt_of("rep")))).alias("salt"))
     own_links = F.when(F.col("id").isNull(), F.lit(0).cast("long")).otherwise(F.col("links")).alias("n_links")
-    full = of_docs.filter("n > 0").join(by_set, "s", "left").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", F.col("s").alias("set_id"), own_links)
+    full = of_docs.filter("n > 0").withColumn("salt", salt_of("id")).join(by_set, ["s", "salt"], "left")
+    full = full.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", F.col("s").alias("set_id"), own_links)
     empty = of_docs.filter("n = 0").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), F.col("s").alias("set_id"), F.lit(0).cast("long").alias("n_links"))
     return full.unionByName(empty)
