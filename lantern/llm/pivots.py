@@ -26,13 +26,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lantern.llm import textvec
-from lantern.llm.common import n_partitions, release, written
+from lantern.llm.common import forget, n_partitions, release, written
 from lantern.llm.components import components, forest
 
 PIVOTS, NEAREST, COSINE = 256, 6, 0.9
 SAMPLE, APART = 4096, 0.6
 #: Vectors of a list that one task compares with as many others.
 BLOCK = 4096
+#: Tasks that the copies of one vector are dealt to.
+SALTS = 32
 #: Numbers that the vectors of a pack of short lists hold, about.
 PACK = 1 << 21
 FOUND = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
@@ -138,7 +140,11 @@ def neighbours(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     # equal vectors are one; a signed zero is a zero
     good = v.filter("ok and vec_id is not null").withColumn("v", F.transform("v", lambda x: x + F.lit(0.0).cast("float" if single else "double")))
     one = written(good.groupBy("v").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("w")), "vectors")
-    members = good.join(one, "v").select("vec_id", "id", "w")
+    # copies of one vector meet it in many tasks; a vector without copies is its own
+    every = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    salt = F.pmod(F.xxhash64("vec_id"), F.lit(SALTS))
+    copied = one.filter("w > 1").withColumn("salt", F.explode(every))
+    members = good.withColumn("salt", salt).join(copied, ["v", "salt"], "left").select("vec_id", F.coalesce("id", "vec_id").alias("id"), F.coalesce("w", F.lit(1).cast("long")).alias("w"))
     chosen: dict[int, list] = {}
     for r in one.select("v", "id").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect():
         chosen.setdefault(len(r["v"]), []).append(r["v"])
@@ -234,9 +240,10 @@ def neighbours(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     work = described.mapInArrow(deal, "pack long, p long, q long, own long, id long, w long, perm binary, x binary")
     dealt = work.repartition(parts, "pack", "p", "q").sortWithinPartitions("pack", "p", "q")
     found = written(dealt.mapInArrow(search, "id long, links long, root long"), "found")
+    forget(described)
     n_links = found.groupBy("id").agg(F.sum("links").alias("n"))
     labels = components(found.filter("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))
-    by_one = one.select("id").join(n_links, "id", "left").join(labels, "id", "left").select("id", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("component", "id").alias("component"))
-    linked = members.join(by_one, "id").select("vec_id", (F.col("n") + F.col("w") - 1).alias("n_links"), F.col("component").alias("component_id"))
+    by_one = one.select("id", "w").join(n_links, "id", "left").join(labels, "id", "left").select("id", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("component", "id").alias("component"), F.explode(F.when(F.col("w") > 1, every).otherwise(F.array(F.lit(0).cast("long")))).alias("salt"))
+    linked = members.withColumn("salt", F.when(F.col("w") > 1, salt).otherwise(F.lit(0).cast("long"))).join(by_one, ["id", "salt"]).select("vec_id", (F.col("n") + F.col("w") - 1).alias("n_links"), F.col("component").alias("component_id"))
     alone = v.filter("not ok or vec_id is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
