@@ -4,70 +4,56 @@ A source's documents are dealt into blocks. With weight w, its block i (from 0)
 due by slot ceil((i + 1) / w); at each slot the released block with the earliest deadline goes next. One unit of work
 a slot and weights that sum to 1 make that schedule feasible, so after every slot each source is within one block of
 its share, however many slots there are: weights are taken as exact fractions. When a source has no blocks left, a
-new phase begins with the weights of those that have. The driver makes the schedule from counts, slot by slot: time
-and memory on it, and the broadcast table of slots, grow with the number of blocks (rows / block), not with texts.
+new phase begins with the weights of those that have.
+
+The schedule is one sequence, so one task makes it from the counts of sources and writes it block by block; the task
+holds a few numbers for each source, and its time grows with the number of blocks (rows / block). Nothing comes to the
+driver. Rows then find their blocks' slots by a join, a broadcast one where the written slots are few.
 
 Defined results: every row is kept, at one place; a null source is a source of its own; null ids are ordered first;
 repeated rows share an order key and take neighbouring places; other columns are ignored; an empty table gives an
-empty mix. The last block of a source may be short, so places can have gaps. More than MOST_SOURCES sources raise
-ValueError: they are collected as counts and scheduled on the driver.
+empty mix. The last block of a source may be short, so places can have gaps. Weights of 0 or less, or that aren't
+finite, raise ValueError.
 """
 
 from __future__ import annotations
 
 import heapq
-from array import array
 from collections.abc import Iterator
 from fractions import Fraction
-from math import lcm
+from math import inf, lcm
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK, SHARDS, CHUNK, MOST_SOURCES = 16, 256, 1024, 1024
-
+from lantern.llm.common import small, written
 
-def parts_of(weights: list[float], parts: int) -> list[int]:
-    """Whole parts, at least one each, that sum to `parts`, by largest remainder."""
-    total = sum(weights)
-    exact = [max(w / total * parts, 1.0) for w in weights]
-    scale = (parts - len(weights)) / max(sum(e - 1 for e in exact), 1e-12)
-    exact = [1 + (e - 1) * scale for e in exact]
-    out = [int(e) for e in exact]
-    order = sorted(range(len(out)), key=lambda i: (out[i] - exact[i], i))
-    for i in range(parts - sum(out)):
-        out[order[i % len(out)]] += 1
-    return out
+BLOCK, SHARDS = 16, 256
+#: Slots that the scheduling task writes at a time.
+BATCH = 1 << 16
 
 
-def schedule(shares: list[int], blocks: list[int]) -> list[array]:
-    """Slots of each source's blocks until one source has none left, earliest deadline first among the released.
-    Weights are shares[s] / sum(shares), in whole numbers, so releases and deadlines are exact."""
-    n = sum(shares)
-    out = [array("q") for _ in shares]
+def schedule(shares: list[int], blocks: list[int]) -> Iterator[int]:
+    """The source of each slot until one has no blocks left, earliest deadline first among the released. Weights are
+    shares[s] / sum(shares), in whole numbers, so releases and deadlines are exact."""
+    n, done = sum(shares), [0] * len(shares)
     later = [(0, s) for s in range(len(shares))]  # (release, source)
     ready: list[tuple[int, int]] = []  # (deadline, source)
     slot = 0
     while True:
         while later and later[0][0] <= slot:
             _, s = heapq.heappop(later)
-            heapq.heappush(ready, (-(-(len(out[s]) + 1) * n // shares[s]), s))
+            heapq.heappush(ready, (-(-(done[s] + 1) * n // shares[s]), s))
         due, s = heapq.heappop(ready)
         if due <= slot:
             raise AssertionError("a deadline is missed")
-        out[s].append(slot)
+        yield s
         slot += 1
-        done = len(out[s])
-        if done == blocks[s]:
-            return out
-        heapq.heappush(later, (done * n // shares[s], s))
-
-
-def period(parts: list[int]) -> list[list[int]]:
-    """Slots of each source's blocks in one period of sum(parts) slots."""
-    n = sum(parts)
-    out = schedule(parts, [p + 1 for p in parts])  # a period and up to the first that goes beyond its own
-    return [[x for x in own if x < n] for own in out]
+        done[s] += 1
+        if done[s] == blocks[s]:
+            return
+        heapq.heappush(later, (done[s] * n // shares[s], s))
 
 
 def shares_of(weights: list[float]) -> list[int]:
@@ -77,31 +63,39 @@ def shares_of(weights: list[float]) -> list[int]:
     return [int(e * common) for e in exact]
 
 
-def phases(blocks: list[int], weights: list[float]) -> Iterator[tuple[int, list[int], list[array]]]:
-    """First slot, sources and their slots (counted from it) of each phase."""
-    left, start = list(blocks), 0
-    while active := [s for s in range(len(blocks)) if left[s]]:
-        if len(active) == 1:
-            slots = [array("q", range(left[active[0]]))]
-        else:
-            slots = schedule(shares_of([weights[s] for s in active]), [left[s] for s in active])
-        yield start, active, slots
-        for s, own in zip(active, slots, strict=True):
-            left[s] -= len(own)
-            start += len(own)
-
-
-def chunks(blocks: list[int], weights: list[float]) -> Iterator[tuple[int, int, list[int], list[int]]]:
-    """(source, chunk, slots, phases) of each CHUNK blocks of a source, in order of blocks."""
-    slot: list[array] = [array("q") for _ in blocks]
-    phase: list[array] = [array("i") for _ in blocks]
-    for k, (start, active, slots) in enumerate(phases(blocks, weights)):
-        for s, own in zip(active, slots, strict=True):
-            slot[s].extend(array("q", (start + x for x in own)))
-            phase[s].extend(array("i", [k]) * len(own))
-    for s in range(len(blocks)):
-        for c in range(0, blocks[s], CHUNK):
-            yield s, c // CHUNK, slot[s][c : c + CHUNK].tolist(), phase[s][c : c + CHUNK].tolist()
+def slots(blocks: list[int], weights: list[float]) -> Iterator[tuple[int, int, int]]:
+    """(source, block, phase) of slot after slot."""
+    done, phase, shares = [0] * len(blocks), 0, shares_of(weights)
+    while active := [s for s in range(len(blocks)) if done[s] < blocks[s]]:
+        for k in schedule([shares[s] for s in active], [blocks[s] - done[s] for s in active]):
+            yield active[k], done[active[k]], phase
+            done[active[k]] += 1
+        phase += 1
+
+
+SLOTS = pa.schema([("p_source", pa.string()), ("p_block", pa.int64()), ("slot", pa.int64()), ("phase", pa.int32())])
+
+
+def planned(totals: DataFrame, weights: dict | None, block: int, temperature: float) -> DataFrame:
+    """(p_source, p_block, slot, phase) of every block, written; totals: source and count of its rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(s, n) for b in batches for s, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+        rows.sort(key=lambda r: (r[0] is not None, r[0] or ""))
+        names = [s for s, _ in rows]
+        wanted = [float((weights or {}).get(s, n**temperature)) for s, n in rows]
+        held: list[tuple] = []
+        for slot, (s, k, phase) in enumerate(slots([-(-n // block) for _, n in rows], wanted)):
+            held.append((names[s], k, slot, phase))
+            if len(held) == BATCH:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), SLOTS, strict=True)], schema=SLOTS)
+                held = []
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), SLOTS, strict=True)], schema=SLOTS)
+
+    if any(not 0 < float(w) < inf for w in (weights or {}).values()):
+        raise ValueError("weights must be over 0")
+    return written(totals.repartition(1).mapInArrow(run, "p_source string, p_block long, slot long, phase int"), "slots")
 
 
 def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = BLOCK, temperature: float = 0.5, whole: bool = False) -> DataFrame:
@@ -109,7 +103,7 @@ def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", so
 
     weights: target weight by source, over 0; those left out, or all if None, get their share of rows to the power
     `temperature`. Rows are ordered within a source by a hash of the id. Sources are cut in shards by that hash, so
-    that a hot one is numbered by many tasks; counts of shards, not rows, meet in one place. whole: with a last column
+    that a hot one is numbered by many tasks; counts of shards, not rows, meet where offsets are made. whole: with a last column
     `row`, the row itself as a struct.
     """
     spark = docs.sparkSession
@@ -117,32 +111,16 @@ def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", so
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.xxhash64(F.col(id_col)).alias("_h"), *own)
     d = d.withColumn("_shard", F.shiftrightunsigned(F.col("_h"), 56).cast("int") if SHARDS == 256 else F.pmod("_h", F.lit(SHARDS)).cast("int"))
     own = ["row"] if whole else []
-    shard_rows = d.groupBy("source", "_shard").count().limit(MOST_SOURCES * SHARDS + 1).collect()
-    total: dict = {}
-    offsets = []
-    for r in sorted(shard_rows, key=lambda r: (r["source"] is not None, r["source"] or "", r["_shard"])):
-        offsets.append((r["source"], r["_shard"], total.get(r["source"], 0)))
-        total[r["source"]] = total.get(r["source"], 0) + r["count"]
-    if len(total) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    names = list(total)
-    wanted = [float((weights or {}).get(s, total[s] ** temperature)) for s in names]
-    if not all(w > 0 for w in wanted):
-        raise ValueError("weights must be over 0")
-    plan = [(names[s], *rest) for s, *rest in chunks([-(-total[s] // block) for s in names], wanted)]
-    plan_df = spark.createDataFrame(plan, "p_source string, p_chunk long, slots array<long>, phases array<int>")
-    offset_df = spark.createDataFrame(offsets, "o_source string, o_shard int, before long")
+    shards = written(d.groupBy("source", "_shard").count(), "shards")
+    before = F.sum("count").over(Window.partitionBy("source").orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = shards.select(F.col("source").alias("o_source"), F.col("_shard").alias("o_shard"), F.coalesce(before, F.lit(0).cast("long")).alias("before"))
+    plan = planned(shards.groupBy("source").agg(F.sum("count").alias("count")), weights, block, temperature)
     order = Window.partitionBy("source", "_shard").orderBy("_h", "doc_id")
-    k = F.col("before") + F.row_number().over(order) - 1
     d = d.withColumn("_rn", F.row_number().over(order).cast("long"))
-    d = d.join(F.broadcast(offset_df), F.col("source").eqNullSafe(F.col("o_source")) & (F.col("_shard") == F.col("o_shard")))
+    d = d.join(small(written(offsets, "offsets")), F.col("source").eqNullSafe(F.col("o_source")) & (F.col("_shard") == F.col("o_shard")))
     k = F.col("before") + F.col("_rn") - 1
     d = d.select("doc_id", "source", k.alias("_k"), F.floor(k / block).cast("long").alias("block"), *own)
-    # a number or two for each block
-    at_chunk = F.floor(F.col("block") / CHUNK).cast("long")
-    d = d.join(F.broadcast(plan_df), F.col("source").eqNullSafe(F.col("p_source")) & (at_chunk == F.col("p_chunk")))
-    i = (F.col("block") % CHUNK).cast("int")
-    d = d.select("doc_id", "source", "block", F.get("slots", i).alias("slot"), "_k", F.get("phases", i).alias("phase"), *own)
+    d = d.join(small(plan), F.col("source").eqNullSafe(F.col("p_source")) & (F.col("block") == F.col("p_block")))
     return d.select("doc_id", "source", "block", "slot", (F.col("slot") * block + F.col("_k") % block).alias("position"), "phase", *own)
 
 
