@@ -18,15 +18,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lantern.llm import textvec
+from lantern.llm.common import forget, written
 
 BITS, RANK, BINS = 15, 8, 12
 EPOCHS, STEPS, BATCH, RATE, DECAY = 12, 500, 64, 0.08, 2e-4
 #: The fit reads at most so many labelled texts, those of the lowest hashes.
 SAMPLE = 6000
+#: And so many bytes of them.
+SAMPLE_BYTES = 64 << 20
 STATS = ("words", "bytes a word", "symbols", "bangs", "capitals", "digits", "distinct words", "word after itself", "repeated lines", "punctuation", "lines", "non-ASCII")
 
 
@@ -151,12 +154,22 @@ def fit(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Model:
     return model
 
 
-def sample(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most: int = SAMPLE) -> tuple[list[bytes], np.ndarray]:
-    """At most `most` texts with a label of 0 or 1, of the lowest hashes; a text counts once for each label row."""
+def sample(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> tuple[list[bytes], np.ndarray]:
+    """At most `most` texts with a label of 0 or 1, of the lowest hashes, and of them as many as have `most_bytes` bytes
+    in all (the first, whatever its size); a text counts once for each label row. Of rows that share an id, the least
+    text stands for all, so what comes to the driver is bounded by both."""
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(label_col).alias("y"))
     chosen = known.withColumnRenamed("i", id_col).filter(usable).withColumnRenamed(id_col, "i").orderBy(F.xxhash64("i"), "i", "y").limit(most)
-    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).join(F.broadcast(chosen), "i").orderBy("i").collect()  # both bounded by `most`
-    return [(r["t"] or "").encode("utf-8", "surrogatepass") for r in rows], np.array([r["y"] for r in rows], np.float64)
+    texts = docs.select(F.col(id_col).alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    texts = texts.join(F.broadcast(chosen.select("i").distinct()), "i", "left_semi").groupBy("i").agg(F.min("t").alias("t"))  # `most` ids
+    rows = written(texts.join(F.broadcast(chosen), "i").withColumn("n", F.octet_length("t").cast("long")), "labelled")
+    order = Window.orderBy(F.xxhash64("i"), "i", "y")  # `most` rows
+    upto = rows.select("i", "y", "n").withColumn("upto", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    fit_for = upto.filter((F.col("upto") <= most_bytes) | (F.col("upto") == F.col("n"))).select("i", "y").distinct()
+    own = rows.join(F.broadcast(fit_for), ["i", "y"], "left_semi").orderBy("i", "y").collect()
+    forget(rows)
+    rows = own
+    return [r["t"].encode("utf-8", "surrogatepass") for r in rows], np.array([r["y"] for r in rows], np.float64)
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
