@@ -150,13 +150,15 @@ def sample(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: st
     """Each language with a label and a text, in order, with at most per_language of its texts, of the lowest hashes.
 
     Rows of each language are counted first, so that only those under a hash that SLACK times as many would be under
-    are ranked: what meets in a language's task is bounded, however many rows there are.
+    are ranked: what meets in a language's task is bounded, however many rows there are. Rows of the least hash always
+    are, so that a language whose rows are all alike has a text too; each task ranks its own first.
     """
     d = docs.filter(usable).select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("g")).filter("t is not null and g is not null")
-    rows_of = d.groupBy("g").agg(F.count(F.lit(1)).alias("n"))  # a row for each language: joined by broadcast
+    d = d.withColumn("h", F.xxhash64("i", "t"))
+    rows_of = d.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("least"))  # a row for each language: joined by broadcast
     share = F.col("h") / F.lit(float(1 << 63)) / 2 + 0.5  # 0 to 1, alike for all hashes
-    near = d.withColumn("h", F.xxhash64("i")).join(F.broadcast(rows_of), "g").filter(share <= SLACK * per_language / F.col("n"))
-    order = Window.partitionBy("g").orderBy("h", "i")
+    near = d.join(F.broadcast(rows_of), "g").filter((share <= SLACK * per_language / F.col("n")) | (F.col("h") == F.col("least")))
+    order = Window.partitionBy("g").orderBy("h", "i", "t")
     rows = near.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= per_language).select("g", "t")
     for g, own in groupby(rows.orderBy("g").toLocalIterator(), lambda r: r["g"]):
         yield g, [r["t"].encode("utf-8", "surrogatepass") for r in own]
