@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lantern.llm import bpe, fm_quality, mixing, pivots, ppm_langid, quality_rules, secret_scan, setjoin, sparse_suffix, warc
 from lantern.llm.common import held_out
+from lantern.session import shared_dir
 
 KEPT_SCORE = 0.3
 
@@ -23,7 +26,8 @@ def tokenizer(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.digest(secret_scan.scan_documents(table(spark, sf_dir, "documents")))
+    folder = f"{shared_dir(spark)}/lantern-secrets-{uuid.uuid4().hex}"  # a ledger of this run's own
+    return secret_scan.digest(secret_scan.scan_through(table(spark, sf_dir, "documents"), folder))
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,10 +14,10 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lantern.llm.quality_rules import let
+from lantern.llm.common import is_small, written
 
 
 def either_case(word: str) -> str:
@@ -52,23 +52,10 @@ def salt_of(id_col: str) -> Column:
     return F.pmod(F.xxhash64(F.col(id_col)), F.lit(SALTS)).cast("int")
 
 
-def spans_of(text: Column, rule: Rule, order: int) -> Column:
-    """Spans of one rule, from the pieces between matches and the matches, in one running sum."""
-    pieces = F.split(text, rule.pattern, -1)
+def pieces_of(text: Column, rule: Rule) -> Column:
+    """What lies between matches (p), each match (m) and the group that counts (g)."""
     found = lambda g: F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(g))
-    zipped = F.arrays_zip(pieces.alias("p"), found(0).alias("m"), found(rule.group).alias("g"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        at = acc["at"] + F.length(x["p"])
-        stop = at + F.coalesce(F.length(x["m"]), F.lit(0))
-        one = F.struct(at.alias("at"), F.lit(order).alias("ord"), F.lit(rule.kind).alias("kind"), stop.alias("stop"))
-        ok = F.coalesce(F.length(x["g"]) >= rule.least, F.lit(False))
-        out = F.when(ok, F.concat(acc["out"], F.array(one))).otherwise(acc["out"])
-        return F.struct(stop.alias("at"), out.cast(SPANS).alias("out"))
-
-    run = F.aggregate(zipped, start, step, lambda acc: acc["out"])
-    return F.when(text.rlike(rule.pattern), run).otherwise(F.array().cast(SPANS))
+    return F.arrays_zip(F.split(text, rule.pattern, -1).alias("p"), found(0).alias("m"), found(rule.group).alias("g"))
 
 
 def versions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -94,10 +81,17 @@ def unseen(paths: DataFrame, ledger: DataFrame | None, rules=RULES) -> DataFrame
 
 
 def scan(blobs: DataFrame, rules=RULES) -> DataFrame:
-    """Ledger rows of the unseen (blob, rule) pairs, those without findings too."""
-    entry = lambda k, r: F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"), F.when(F.array_contains("todo", r.kind), spans_of(F.col("text"), r, k)).alias("spans"))
-    rows = blobs.select("blob", F.inline(F.array(*[entry(k, r) for k, r in enumerate(rules)])))
-    return rows.filter(F.col("spans").isNotNull())
+    """Ledger rows of the unseen (blob, rule) pairs, those without findings too. Places are running sums over the pieces
+    of a text, a row for each, so work grows with a text's matches and not their square."""
+    text, none = F.col("text"), F.array().cast("array<struct<p:string,m:string,g:string>>")
+    entry = lambda k, r: F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"), F.lit(k).alias("ord"), F.lit(r.least).alias("least"), F.when(F.array_contains("todo", r.kind) & text.rlike(r.pattern), pieces_of(text, r)).otherwise(none).alias("x"))
+    pairs = blobs.select("blob", "todo", F.inline(F.array(*[entry(k, r) for k, r in enumerate(rules)]))).filter(F.array_contains("todo", F.col("kind")))
+    each = pairs.select("blob", "kind", "version", "ord", "least", F.posexplode_outer("x").alias("pos", "x"))
+    long = F.coalesce(F.length("x.m"), F.lit(0))
+    stop = F.sum(F.length("x.p") + long).over(Window.partitionBy("blob", "kind", "version").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
+    each = each.select("blob", "kind", "version", "ord", (F.length("x.g") >= F.col("least")).alias("ok"), stop.cast("int").alias("stop"), long.alias("long"))
+    span = F.struct((F.col("stop") - F.col("long")).alias("at"), "ord", "kind", "stop")
+    return each.groupBy("blob", "kind", "version").agg(F.sort_array(F.collect_list(F.when(F.col("ok"), span))).cast(SPANS).alias("spans"))
 
 
 def findings(ledger: DataFrame, rules=RULES) -> DataFrame:
@@ -127,21 +121,31 @@ def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return by_path(paths, findings(new if ledger is None else new.unionByName(ledger.select(*new.columns)), rules))
 
 
+def scan_through(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", rules=RULES) -> DataFrame:
+    """path and spans of every row, all read back from the ledger in folder after it has been brought up to date."""
+    update_ledger(docs.sparkSession, docs, folder, id_col, text_col, rules)
+    return by_path(versions(docs, id_col, text_col), findings(read_ledger(docs.sparkSession, folder), rules))
+
+
 def update_ledger(spark: SparkSession, docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", rules=RULES) -> int:
     """Scan what the ledger in folder hasn't seen and add it there as a new part; returns how many pairs were scanned.
 
     A part is written under a new name in one job, so a run that is lost leaves the ledger as it was.
     """
-    old = read_ledger(spark, folder)
+    old = read_ledger(spark, folder) if _there(spark, folder) else None
     part = f"{folder.rstrip('/')}/part={uuid.uuid4().hex}"
-    scan(unseen(versions(docs, id_col, text_col), old, rules), rules).write.parquet(part)
+    scan(unseen(versions(docs, id_col, text_col), old, rules), rules).write.parquet(part)  # old is None: nothing to look up
     return spark.read.parquet(part).count()
 
 
+def _there(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
     """All parts; empty where there is none yet."""
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    if not fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path):
+    if not _there(spark, folder):
         return spark.createDataFrame([], LEDGER)
     return spark.read.schema(LEDGER + ", part string").parquet(folder).drop("part")
 
@@ -149,10 +153,11 @@ def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]", rules=RULES) -> DataFrame:
     """docs with each found span (overlapping ones as one) replaced by mark; same columns and rows.
 
-    Spans come from the ledger scan; texts with findings are few, so they alone are cut up.
+    Spans come from the ledger scan; texts with findings are few, so they alone are cut up. Findings that are small when
+    written go to the texts; others meet them by a join, the copies of a text in many tasks.
     """
     paths = versions(docs, id_col, text_col)
-    found = findings(scan(unseen(paths, None, rules), rules), rules).withColumnRenamed("blob", "_blob").withColumnRenamed("spans", "_spans")
+    found = written(findings(scan(unseen(paths, None, rules), rules), rules).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")), "findings")
     key = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -166,7 +171,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark
 
     text = F.col(text_col)
     cut = F.aggregate(F.col("_spans"), start, step(text), lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    joined = docs.withColumn("_blob", key).withColumn("_salt", salt_of(id_col)).join(salted(found), ["_blob", "_salt"], "left")
+    rows = docs.withColumn("_blob", key)
+    joined = rows.join(F.broadcast(found), "_blob", "left") if is_small(found) else rows.withColumn("_salt", salt_of(id_col)).join(salted(found), ["_blob", "_salt"], "left")
     return joined.withColumn(text_col, F.when(F.col("_spans").isNotNull(), cut).otherwise(text)).select(*docs.columns)
 
 
