@@ -3,10 +3,13 @@
 import base64
 import hashlib
 import io
+import math
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
+from itertools import islice
 
 import numpy as np
 import pytest
@@ -94,7 +97,19 @@ def test_secret_ledger_is_incremental(spark, tmp_path):
     assert {r["path"]: len(r["spans"]) for r in found.collect()} == {1: 1, 2: 1, 3: 0, 4: 1}
 
 
-def test_redact(spark):
+def test_secrets_are_read_back_through_the_ledger(spark, tmp_path):
+    docs, folder = frame(spark, ODD), str(tmp_path / "ledger")
+    want = sorted((str(r["path"]), str(r["spans"])) for r in secret_scan.scan_documents(docs).collect())
+    for _ in range(2):  # the second time nothing is scanned
+        assert sorted((str(r["path"]), str(r["spans"])) for r in secret_scan.scan_through(docs, folder).collect()) == want
+    assert secret_scan.update_ledger(spark, docs, folder) == 0
+    many = frame(spark, [(1, "token=abcdefgh " * 4000)])
+    assert len(secret_scan.scan_through(many, folder).first()["spans"]) == 4000
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_redact(spark, monkeypatch, small):
+    monkeypatch.setattr(secret_scan, "is_small", lambda table: small)
     rows = ODD + [(50, "x secret=abcdefgh y token=0123456789abcdef0123456789abcdef z")]
     got = secret_scan.redact(frame(spark, rows))
     assert got.columns == frame(spark, []).columns and got.count() == len(rows)
@@ -291,17 +306,35 @@ def test_quality_rules(spark, texts):
 # 5 mixing
 
 
-@pytest.mark.parametrize("weights", [[1, 1], [5, 3, 2], [1, 100], [7.3, 1.1, 0.01, 4, 4], list(range(1, 21))])
+@pytest.mark.parametrize("weights", [[1, 1], [5, 3, 2], [1, 100], [7.3, 1.1, 0.01, 4, 4], list(range(1, 21)), [0.6667, 0.33328, 0.00002], [1 / 3] * 3 + [1e-7]])
 def test_pfair_lag(weights):
-    parts = mixing.parts_of(weights, 512)
-    assert sum(parts) == 512 and min(parts) >= 1
-    slots = mixing.period(parts)
-    assert sorted(x for s in slots for x in s) == list(range(512))
-    for p, own in zip(parts, slots, strict=True):
-        done = 0
-        for t in range(512):
-            done += done < len(own) and own[done] == t
-            assert abs(done - (t + 1) * p / 512) < 1
+    """Never a block away from the weights themselves, over many slots; of the released, the one due first goes."""
+    total = [Fraction(w) for w in weights]
+    share = [w / sum(total) for w in total]
+    done = [0] * len(weights)
+    blocks = [10**6] * len(weights)
+    for t, (s, k, phase) in enumerate(islice(mixing.slots(blocks, weights), 100_000)):
+        assert (k, phase) == (done[s], 0) and math.floor(k / share[s]) <= t < math.ceil((k + 1) / share[s])
+        if t < 300:  # earliest deadline first, by brute force
+            due = [(math.ceil((done[i] + 1) / share[i]), i) for i in range(len(weights)) if math.floor(done[i] / share[i]) <= t]
+            assert s == min(due)[1]
+        done[s] += 1
+        if t % 97 == 0:
+            assert all(abs(d - (t + 1) * w) < 1 for d, w in zip(done, share, strict=True))
+
+
+def test_mix_of_many_sources(spark):
+    rnd = random.Random(12)
+    rows = [(i, f"s{i % 5000}") for i in range(12_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    weights = {f"s{i}": rnd.uniform(0.1, 5) for i in range(5000)}
+    got = mixing.mix(docs, weights, block=1).select("slot", "source", "block", "phase").orderBy("slot").collect()
+    assert [r["slot"] for r in got] == list(range(len(rows)))
+    done, share = Counter(), sum(weights.values())
+    for t, r in enumerate((r for r in got if r["phase"] == 0), 1):
+        done[r["source"]] += 1
+        assert abs(done[r["source"]] - t * weights[r["source"]] / share) < 1
+    assert t > 100
 
 
 def test_mix(spark):
@@ -323,7 +356,7 @@ def test_mix(spark):
     for t, (_, source, _) in enumerate(first, 1):
         done[source] += 1
         for s in names:
-            assert abs(done[s] - t * want[s] / share) < 1 + t / 512  # weights are whole parts of 1024
+            assert abs(done[s] - t * want[s] / share) < 1
     for s in names:
         own = sorted((b[0], b[2]) for b in blocks if b[1] == s)
         assert [b for _, b in own] == list(range(len(own)))
@@ -402,6 +435,23 @@ def test_sparse_suffix_finds_all_places_within_one_document(spark):
 # 7 factorisation machine
 
 
+def test_fm_sample_is_bounded_and_odd_rows_are_scored(spark):
+    """One id on many rows brings one text; bytes are bounded too; a fitted model scores every kind of row."""
+    texts = [(7, "hot " + "x" * i) for i in range(500)] + [(i, ("good plain words " if i % 2 else "BAD! ") * 9) for i in range(100, 160)]
+    docs = frame(spark, texts)
+    labels = spark.createDataFrame([(7, 1), (7, 0), (None, 1)] + [(i, i % 2) for i in range(100, 160)] + [(100, 5)], "doc_id long, quality int")
+    got, y = fm_quality.sample(docs, labels, F.lit(True))
+    assert len(got) == 62 and sum(t.startswith(b"hot") for t in got) == 2 and min(t for t in got if t.startswith(b"hot")) == b"hot "
+    assert len(fm_quality.sample(docs, labels, F.lit(True), most=6)[0]) == 6
+    few, _ = fm_quality.sample(docs, labels, F.lit(True), most_bytes=500)
+    assert 0 < len(few) < 30 and sum(map(len, few)) <= 500
+    assert len(fm_quality.sample(docs, labels, F.lit(True), most_bytes=1)[0]) == 1
+    model = fm_quality.fit(got, y)
+    scores = fm_quality.score(frame(spark, ODD), model).collect()
+    assert len(scores) == len(ODD) and all(0 <= r["score"] <= 1 for r in scores)
+    assert fm_quality.score(frame(spark, []), model).count() == 0
+
+
 def test_fm_scores_by_the_identity():
     rng = np.random.default_rng(0)
     raw = [b"one two two three", b"", b"a|b *** !!", "é é".encode()]
@@ -482,6 +532,13 @@ def test_ppm_langid(spark):
     assert {r["lang_pred"] for r in ppm_langid.predict(frame(spark, ODD), None).collect()} == {"und"}
 
 
+def test_ppm_learns_from_rows_that_are_all_alike(spark):
+    rows = [(5, "aaaa bbbb", "x")] * 3000 + [(6, "cccc dddd", "y")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = dict(ppm_langid.sample(docs, F.lit(True), per_language=2))
+    assert got == {"x": [b"aaaa bbbb"] * 2, "y": [b"cccc dddd"] * 2}
+
+
 def test_ppm_learns_every_language(spark, monkeypatch):
     rnd = random.Random(12)
     rows, samples = [], {}

@@ -33,7 +33,7 @@ def masked(text):
 def test_pipeline(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     docs = [(i, t) for i, t in docs if kept(t or "")]
-    first = {i for i, _, c in join_brute(docs) if i == c}
+    first = {i for i, _, c, _ in join_brute(docs) if i == c}
     docs = [(i, masked(t)) for i, t in docs if i in first]
     path, pattern = queries.tokenizer()
     with open(path, "rb") as f:
