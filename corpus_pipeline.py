@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lantern.llm import bpe, mixing, quality_rules, queries, secret_scan, setjoin
-from lantern.llm.common import written
+from lantern.llm.common import small, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +24,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")  # so that a row keeps its number
     name = F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0)).alias("id"), "_row")
     chosen = setjoin.join(rows.withColumn("_name", name), id_col="_name").filter("doc_id = component_id")
-    return rows.join(chosen.select("doc_id._row"), "_row", "left_semi").select(*docs.columns)
+    chosen = written(chosen.select("doc_id._row"), "chosen")
+    return rows.join(small(chosen), "_row", "left_semi").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
