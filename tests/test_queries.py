@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lantern import connect
 from lantern.operators import aggregates, filters, joins, ordering, subqueries
 from lantern.plans.catalog_queries import ORACLE, QUERIES
+from lantern.sources import tables
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -86,6 +87,19 @@ def test_document_semantics(spark):
     assert ordering.sort_page(df, ["i"], 0).count() == 0
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
+def test_scans_and_sinks(spark, tmp_path, fmt):
+    rows = [(1, "a", 2.5), (2, None, -1.0), (3, "b,c", None)]
+    df = spark.createDataFrame(rows, "i int, s string, x double")
+    tables.sink(df, str(tmp_path), "t", fmt, by=["i"])
+    own = tables.scan(spark, str(tmp_path), "t", fmt, None if fmt in tables.TYPED else "s string, x double, i int")
+    assert sorted(map(tuple, own.select("i", "s", "x").collect())) == rows
+    assert own.filter("i = 2").inputFiles() != [] and own.filter("i = 2").count() == 1
+    if fmt not in tables.TYPED:
+        with pytest.raises(ValueError):
+            tables.scan(spark, str(tmp_path), "t", fmt)
+
+
 def test_not_in_with_nulls(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "i int")
     ids = lambda rows: sorted(map(str, (r[0] for r in subqueries.where_in(df, "i", spark.createDataFrame(rows, "k int"), negated=True).collect())))
