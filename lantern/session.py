@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -36,6 +37,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        path = "file://" + os.path.join(tempfile.gettempdir(), "lantern-shared")
+        own = tempfile.mkdtemp(prefix="lantern-shared-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        path = f"file://{own}"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
