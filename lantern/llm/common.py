@@ -17,6 +17,8 @@ from lantern.session import shared_dir
 
 #: Bytes in Parquet up to which a written table may be broadcast.
 SMALL = 2 << 20
+#: Files of an input whose row groups are counted.
+FEW = 64
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -53,6 +55,22 @@ def small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if is_small(table) else table
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df, or df dealt to all cores where it is read from fewer row groups than there are cores: a row group is read by one
+    task, which then alone does what is done with its rows. Only inputs of up to FEW files are looked at."""
+    spark = df.sparkSession
+    cores, files = spark.sparkContext.defaultParallelism, df.inputFiles()
+    if not files or len(files) >= min(cores, FEW) or not all(f.endswith(".parquet") for f in files):
+        return df
+    hadoop, parquet, groups = spark._jvm.org.apache.hadoop, spark._jvm.org.apache.parquet.hadoop, 0
+    for f in files:
+        path = hadoop.fs.Path(spark._jvm.java.net.URI(f))
+        reader = parquet.ParquetFileReader.open(parquet.util.HadoopInputFile.fromPath(path, spark._jsc.hadoopConfiguration()))
+        groups += reader.getRowGroups().size()
+        reader.close()
+    return df if groups >= cores else df.repartition(cores)
+
+
 def n_partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions, which the operator of the cluster scales with the input."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lantern.llm import bpe, fm_quality, mixing, pivots, ppm_langid, quality_rules, secret_scan, setjoin, sparse_suffix, warc
-from lantern.llm.common import held_out
+from lantern.llm.common import held_out, spread
 from lantern.session import shared_dir
 
 KEPT_SCORE = 0.3
@@ -18,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For operators that work on each text: on all cores, also where the table is one row group."""
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def tokenizer(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
     """Path of a public vocabulary and its pattern."""
     import public_tokenizers
@@ -35,11 +40,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return setjoin.join(table(spark, sf_dir, "documents")).drop("set_id")
+    return setjoin.join(documents(spark, sf_dir)).drop("set_id")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.apply_policy(quality_rules.ledger(table(spark, sf_dir, "documents")))
+    return quality_rules.apply_policy(quality_rules.ledger(documents(spark, sf_dir)))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,11 +52,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sparse_suffix.repeats(table(spark, sf_dir, "documents"))
+    return sparse_suffix.repeats(documents(spark, sf_dir))
 
 
 def op7_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     texts, labels = fm_quality.sample(docs, table(spark, sf_dir, "labels"), ~held_out())
     model = fm_quality.fit(texts, labels) if len(set(labels)) == 2 else None
     scored = fm_quality.score(docs, model)
@@ -59,13 +64,13 @@ def op7_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_ppm_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     predicted = ppm_langid.predict(docs, ppm_langid.learn(docs, ~held_out()))
     return predicted.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.round_trip(table(spark, sf_dir, "documents"), *tokenizer())
+    return bpe.round_trip(documents(spark, sf_dir), *tokenizer())
 
 
 def op10_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,11 +11,12 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 from itertools import islice
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lantern.llm import bpe, components, fm_quality, mixing, pivots, ppm_langid, quality_rules, queries, secret_scan, setjoin, sparse_suffix, textvec, warc
+from lantern.llm import bpe, common, components, fm_quality, mixing, pivots, ppm_langid, quality_rules, queries, secret_scan, setjoin, sparse_suffix, textvec, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Nulls, empty, blank, long, repeated and odd texts; extra columns with names that operators use themselves.
@@ -649,3 +650,30 @@ def test_words_and_hashes():
                 assert seen.setdefault(bytes(buf[s:e]), x) == x
         assert words == [WORD.findall(t) for t in [*raw, ""]]
         assert len(set(seen.values())) == len(seen)
+
+
+def test_spread_deals_what_few_row_groups_hold(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    folder = str(tmp_path / "with space")
+    spark.range(1000).coalesce(1).write.parquet(f"{folder}/one")
+    spark.range(1000).repartition(cores + 1).write.parquet(f"{folder}/many")
+    spark.range(1000).coalesce(1).write.json(f"{folder}/json")
+    one, many = spark.read.parquet(f"{folder}/one"), spark.read.parquet(f"{folder}/many")
+    assert common.spread(one).rdd.getNumPartitions() == cores and sorted(r[0] for r in common.spread(one).collect()) == list(range(1000))
+    own = spark.read.schema("id long").json(f"{folder}/json")
+    assert common.spread(many) is many and common.spread(own) is own
+    bare = spark.createDataFrame([(1,)], "id long")
+    assert common.spread(bare) is bare
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_against_its_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{t}.parquet')")
+    con.execute(queries.ORACLE_SQL[name])
+    columns = [d[0] for d in con.description]
+    df = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert sorted(df.columns) == sorted(columns)
+    got = sorted(tuple(r[c] for c in columns) for r in df.collect())
+    assert sorted(got, key=str) == sorted(con.fetchall(), key=str) and got
