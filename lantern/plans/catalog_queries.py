@@ -5,12 +5,16 @@ Sums of money are exact decimals before they become doubles, so no result depend
 
 from __future__ import annotations
 
+import asyncio
+import logging
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lantern import dbapi
+from lantern.aio import connect_async
 from lantern.dbapi import connect
 from lantern.errors import LanternError
 from lantern.operators import aggregates as agg
@@ -657,3 +661,57 @@ def _rejected(spark, folder):
         except LanternError as e:
             rows.append((what, e.code))
     return spark.createDataFrame(rows, "what string, code string")
+
+
+_SURFACE = """WITH n AS (SELECT *, row_number() OVER (ORDER BY n_nationkey) AS i FROM nation),
+names AS (SELECT string_agg(n_name, ',' ORDER BY i) FILTER (i = 1) AS one, string_agg(n_name, ',' ORDER BY i) FILTER (i IN (2, 3)) AS two, string_agg(n_name, ',' ORDER BY i) FILTER (i > 3) AS rest, count(*) AS n FROM n)
+SELECT what, value FROM names, LATERAL (VALUES ('apilevel', '2.0'), ('threadsafety', '1'), ('paramstyle', 'pyformat'), ('fetchone', one), ('fetchmany', two), ('fetchall', rest), ('after the end', 'None'),
+    ('description', 'n_nationkey,n_name'), ('rowcount', CAST(n AS VARCHAR)), ('iteration', concat(one, ',', two, ',', rest)), ('closed cursor', 'E5'), ('empty path', 'E1'), ('percent in a string', '1'),
+    ('async rows', two), ('async rowcount', '2'), ('async transaction', 'rolled back'), ('logged', 'begin,execute,rollback')) x(what, value)"""
+
+
+@_registered("dbapi_surface", _SURFACE)
+def _surface(spark, folder):
+    """What clients see of module, connection and cursor, blocking and async, as rows."""
+    db, rows = _db(spark, folder, "nation"), [("apilevel", dbapi.apilevel), ("threadsafety", str(dbapi.threadsafety)), ("paramstyle", dbapi.paramstyle)]
+    by_key = "SELECT n_nationkey, n_name FROM nation ORDER BY n_nationkey"
+    names = lambda got: ",".join(r[-1] for r in got)
+    cur = db.cursor().execute(by_key)
+    rows += [("fetchone", names([cur.fetchone()])), ("fetchmany", names(cur.fetchmany(2))), ("fetchall", names(cur.fetchall())), ("after the end", str(cur.fetchone()))]
+    rows += [("description", ",".join(d[0] for d in cur.description)), ("rowcount", str(db.cursor().execute(by_key).rowcount)), ("iteration", names(db.cursor().execute(by_key)))]
+    rows.append(("percent in a string", str(db.cursor().execute("SELECT 1 AS n WHERE '%s' <> '%(a)s' -- %s").fetchone()[0])))
+    cur.close()
+    for what, call in (("closed cursor", lambda: cur.execute(by_key)), ("empty path", lambda: connect("", spark=spark))):
+        try:
+            call()
+        except LanternError as e:
+            rows.append((what, e.code))
+
+    async def other() -> list:
+        async with await connect_async(f"{shared_dir(spark)}/store-{uuid.uuid4().hex}", "main", spark=spark) as own:
+            cur = await own.cursor()
+            await cur.execute("CREATE TABLE t (k INT, s STRING)")
+            await cur.executemany("INSERT INTO t (k, s) VALUES (%s, %s)", [tuple(r) for r in two])
+            out = [("async rowcount", str(cur.rowcount))]
+            await own.begin()
+            await cur.execute("DELETE FROM t WHERE k >= 0")
+            await own.rollback()
+            got = [r async for r in await cur.execute("SELECT k, s FROM t ORDER BY k")]
+            return [*out, ("async rows", names(got)), ("async transaction", "rolled back" if got else "lost")]
+
+    two = db.cursor().execute(by_key + " LIMIT 2 OFFSET 1").fetchall()
+    rows += asyncio.run(other())
+    seen: list[str] = []
+    watch = logging.Handler()
+    watch.emit = lambda record: seen.append(record.getMessage().split()[0])
+    level = dbapi.log.level
+    dbapi.log.addHandler(watch)
+    dbapi.log.setLevel(logging.DEBUG)
+    try:
+        db.begin()
+        db.cursor().execute(by_key)
+        db.rollback()
+    finally:
+        dbapi.log.removeHandler(watch)
+        dbapi.log.setLevel(level)
+    return spark.createDataFrame([*rows, ("logged", ",".join(seen))], "what string, value string")
