@@ -37,7 +37,7 @@ from lantern.llm.common import added, n_partitions, release
 LENGTH, K = 50, 8
 #: Suffixes of one head that a task sorts, at most.
 MANY = 10_000
-#: Bits of the filters of shared heads and of those over MANY, and bytes of a slice of them.
+#: Bits of the filter of shared heads, most bits of that of heads over MANY, and most bytes of a slice of them.
 SHARED, FREQUENT, SLICE = 1 << 26, 1 << 22, 1 << 14
 #: Heads, and bytes of suffixes, that a task holds before it sends them.
 HEADS, HELD = 1 << 19, 24 << 20
@@ -145,9 +145,11 @@ def _added_up(rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def filters(docs: DataFrame, length: int, k: int, many: int) -> tuple[np.ndarray, np.ndarray]:
-    """The filters of heads that two documents have and, of those, of heads with over `many` suffixes, as packed bits."""
+def filters(docs: DataFrame, length: int, k: int, many: int, shared: int) -> tuple[np.ndarray, np.ndarray]:
+    """The filters of heads that two documents have and, of those, of heads with over `many` suffixes, as packed bits;
+    shared: bits of the first, a power of 2 from 64 on."""
     parts = n_partitions(docs.sparkSession)
+    frequent, step = min(FREQUENT, shared), min(SLICE, shared // 8, FREQUENT // 8)
     buckets = 4 * parts
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,19 +184,19 @@ def filters(docs: DataFrame, length: int, k: int, many: int) -> tuple[np.ndarray
             return
         own = _added_up(np.concatenate(rows))
         own = own[own["low"] != own["high"]]
-        for bits, heads, base in ((SHARED, own["head"], 0), (FREQUENT, own["head"][own["n"] > many], SHARED // 8 // SLICE)):
+        for bits, heads, base in ((shared, own["head"], 0), (frequent, own["head"][own["n"] > many], shared // 8 // step)):
             at = (heads >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64)
-            cuts = _cuts(at // (8 * SLICE))
+            cuts = _cuts(at // (8 * step))
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                flags = np.zeros(8 * SLICE, bool)
-                flags[at[a:b] % (8 * SLICE)] = True
-                yield pa.RecordBatch.from_arrays([pa.array([base + at[a] // (8 * SLICE)], pa.int32()), pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())], ["part", "counts"])
+                flags = np.zeros(8 * step, bool)
+                flags[at[a:b] % (8 * step)] = True
+                yield pa.RecordBatch.from_arrays([pa.array([base + at[a] // (8 * step)], pa.int32()), pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())], ["part", "counts"])
         del own
         release()
 
     dealt = docs.mapInArrow(count, "bucket int, data binary").repartition(parts, "bucket")
-    both = added(dealt.mapInArrow(flag, "part int, counts binary"), "u1", (SHARED + FREQUENT) // 8, np.bitwise_or, once=True)
-    return both[: SHARED // 8], both[SHARED // 8 :]
+    both = added(dealt.mapInArrow(flag, "part int, counts binary"), "u1", (shared + frequent) // 8, np.bitwise_or, once=True)
+    return both[: shared // 8], both[shared // 8 :]
 
 
 def around(words: np.ndarray, place: np.ndarray, near: np.ndarray, far: np.ndarray, length: int, k: int) -> np.ndarray:
@@ -236,14 +238,15 @@ TYPES = "bucket long, doc binary, at binary, near binary, far binary, data binar
 FOUND = pa.schema([("doc_id", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, k: int = K, many: int = MANY) -> DataFrame:
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, k: int = K, many: int = MANY, shared_bits: int = SHARED) -> DataFrame:
     """doc_id, n_spans, n_repeated_words, spans ("first:end" in words, comma-joined) of documents with a passage of
-    `length` words or more that another document has. Ids are whole numbers; k is less than length."""
+    `length` words or more that another document has. Ids are whole numbers; k is less than length. shared_bits: of the
+    filter of shared heads, a power of 2; all tasks hold it."""
     spark = docs.sparkSession
     parts = 2 * n_partitions(spark)  # what travels is more than the input's columns are in Parquet
     buckets = 8 * parts
     d = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    known = spark.sparkContext.broadcast(filters(d, length, k, many))
+    known = spark.sparkContext.broadcast(filters(d, length, k, many, shared_bits))
 
     def settled(found) -> pa.RecordBatch:
         n = len(found[0])

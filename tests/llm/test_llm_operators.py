@@ -400,12 +400,12 @@ def repeats_brute(rows, n):
     return {i: sorted(v) for i, v in out.items()}
 
 
-@pytest.mark.parametrize(("n", "many", "parts"), [(50, sparse_suffix.MANY, 1), (20, sparse_suffix.MANY, 7), (50, 3, 2), (50, 30, 7)])
-def test_sparse_suffix(spark, texts, n, many, parts):
-    """Few suffixes to a head: passages of the others travel as hashes."""
+@pytest.mark.parametrize(("n", "many", "parts", "bits"), [(50, sparse_suffix.MANY, 1, sparse_suffix.SHARED), (20, sparse_suffix.MANY, 7, 64), (50, 3, 2, sparse_suffix.SHARED), (50, 30, 7, 64)])
+def test_sparse_suffix(spark, texts, n, many, parts, bits):
+    """Few suffixes to a head: passages of the others travel as hashes. Few bits: all heads pass for shared ones."""
     rows = texts + [(1000 + i if i is not None else None, t) for i, t in ODD]
     got = {}
-    for r in sparse_suffix.repeats(frame(spark, rows).repartition(parts), length=n, many=many).collect():
+    for r in sparse_suffix.repeats(frame(spark, rows).repartition(parts), length=n, many=many, shared_bits=bits).collect():
         spans = [tuple(map(int, x.split(":"))) for x in r["spans"].split(",")]
         assert r["n_spans"] == len(spans) and r["n_repeated_words"] == sum(b - a for a, b in spans)
         got[r["doc_id"]] = [i for a, b in spans for i in range(a, b)]
