@@ -27,9 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lantern.llm.common import small, written
+from lantern.llm.common import n_partitions, small, written
 
-BLOCK, SHARDS = 16, 256
+BLOCK = 16
+#: Least number of shards of a source, and shards for each partition of a shuffle; powers of 2.
+SHARDS, SHARES = 256, 4
 #: Slots that the scheduling task writes at a time.
 BATCH = 1 << 16
 
@@ -98,18 +100,24 @@ def planned(totals: DataFrame, weights: dict | None, block: int, temperature: fl
     return written(totals.repartition(1).mapInArrow(run, "p_source string, p_block long, slot long, phase int"), "slots")
 
 
+def shard_bits(partitions: int) -> int:
+    """Leading bits of the hash that tell the shard: a shard is a range of hashes, so places don't depend on their number."""
+    return (max(SHARDS, SHARES * partitions) - 1).bit_length()
+
+
 def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", source_col: str = "source", block: int = BLOCK, temperature: float = 0.5, whole: bool = False) -> DataFrame:
     """doc_id, source, block, slot (the block's place), position (the row's place in the mix), phase.
 
     weights: target weight by source, over 0; those left out, or all if None, get their share of rows to the power
-    `temperature`. Rows are ordered within a source by a hash of the id. Sources are cut in shards by that hash, so
-    that a hot one is numbered by many tasks; counts of shards, not rows, meet where offsets are made. whole: with a last column
-    `row`, the row itself as a struct.
+    `temperature`. Rows are ordered within a source by a hash of the id. Sources are cut in shards by that hash, some for
+    each partition of a shuffle, so that a hot one is numbered by all tasks, whatever the size; counts of shards, not rows,
+    meet where offsets are made. Rows that share an id are numbered by one task. whole: with a last column `row`, the row
+    itself as a struct.
     """
     spark = docs.sparkSession
     own = [F.struct(*docs.columns).alias("row")] if whole else []
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.xxhash64(F.col(id_col)).alias("_h"), *own)
-    d = d.withColumn("_shard", F.shiftrightunsigned(F.col("_h"), 56).cast("int") if SHARDS == 256 else F.pmod("_h", F.lit(SHARDS)).cast("int"))
+    d = d.withColumn("_shard", F.shiftrightunsigned(F.col("_h"), 64 - shard_bits(n_partitions(spark))).cast("int"))
     own = ["row"] if whole else []
     shards = written(d.groupBy("source", "_shard").count(), "shards")
     before = F.sum("count").over(Window.partitionBy("source").orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1))

@@ -367,6 +367,18 @@ def test_mix(spark):
         mixing.mix(docs, {"a": -1.0})
 
 
+def test_places_do_not_depend_on_the_number_of_shards(spark, monkeypatch):
+    rnd = random.Random(5)
+    docs = spark.createDataFrame([(i, rnd.choice("aab")) for i in range(2000)], "doc_id long, source string")
+    places = []
+    for least in (4, 256, 1 << 12):
+        monkeypatch.setattr(mixing, "SHARDS", least)
+        places.append(sorted(tuple(r) for r in mixing.mix(docs).select("doc_id", "slot", "position").collect()))
+    assert places[0] == places[1] == places[2]
+    monkeypatch.setattr(mixing, "SHARDS", 256)
+    assert mixing.shard_bits(8) == 8 and mixing.shard_bits(200) == 10 and 1 << mixing.shard_bits(10_000) >= 40_000
+
+
 def test_mix_keeps_to_the_target_weights_over_many_slots(spark):
     """Never a block away from the weights themselves, however long the mix and small the weight."""
     total = {"a": 7000, "b": 14000, "c": 40}
