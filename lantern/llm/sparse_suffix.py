@@ -345,7 +345,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     key = F.coalesce("bucket", F.lit(2 * buckets).cast("long") + F.abs(F.col("doc_id") % buckets))
     dealt = d.mapInArrow(send, TYPES).withColumn("_key", key).repartition(parts, "_key").sortWithinPartitions("_key").drop("_key")
     each = Window.partitionBy("doc_id").orderBy("a", "b")
-    found = dealt.mapInArrow(compare, "doc_id long, a long, b long")
+    # of the rows of an id that many have, each place goes on once
+    found = dealt.mapInArrow(compare, "doc_id long, a long, b long").groupBy("doc_id", "a").agg(F.max("b").alias("b"))
     reach = F.max("b").over(each.rowsBetween(Window.unboundedPreceding, -1))
     found = found.withColumn("new", F.coalesce((F.col("a") > reach).cast("long"), F.lit(1).cast("long"))).withColumn("span", F.sum("new").over(each))
     merged = found.groupBy("doc_id", "span").agg(F.min("a").alias("a"), F.max("b").alias("b"))
