@@ -207,7 +207,7 @@ def around(words: np.ndarray, place: np.ndarray, near: np.ndarray, far: np.ndarr
     at = np.concatenate([place[:, None] - left, place[:, None] + right], axis=1)
     inside = np.concatenate([left <= far[:, None], right < length - near[:, None]], axis=1)
     h = np.where(inside, words[np.where(inside, at, 0)], np.uint64(0))
-    return np.ascontiguousarray(h.view(np.uint16).reshape(len(place), -1, 4)[:, :, :3])
+    return np.ascontiguousarray(h.view(np.uint16).reshape(len(place), 2 * length - k, 4)[:, :, :3])
 
 
 def repeated(doc: np.ndarray, at: np.ndarray, near: np.ndarray, far: np.ndarray, words: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -282,7 +282,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
                 some = _bit(shared, x.head)
                 usual = some & ~_bit(frequent, x.head)
                 own = np.flatnonzero(usual)
-                for at in np.split(own, np.arange(8192, len(own), 8192)):
+                for at in (own[i : i + 8192] for i in range(0, len(own), 8192)):  # none where no head is shared
                     words = around(x.words, x.place[at], x.near[at], x.far[at], length, k)
                     held[False].append((ids[lo + x.text[at]], x.place[at] - x.first[x.text[at]], x.near[at], x.far[at], x.head[at], words))
                     size += words.nbytes

@@ -445,6 +445,24 @@ def test_sparse_suffix_finds_all_places_within_one_document(spark):
     assert got == repeats_brute([row for part in parts for row in part], 50)
 
 
+@pytest.mark.parametrize("many", [sparse_suffix.MANY, 1])
+def test_sparse_suffix_over_chunks_without_usual_heads(spark, many):
+    """A partition for each kind of row: chunks that share nothing, that hold no passage, or whose heads all stand over `many`."""
+    rnd = random.Random(9)
+    make = lambda n: ["w%d" % rnd.randrange(10**6) for _ in range(n)]
+    p = make(60)
+    alone = [[(1, " ".join(make(300)))], [(2, "few words")], [(3, None), (4, ""), (None, "word " * 90)], [(5, "word " * 90)]]
+    both = [[(6, " ".join(p + make(20)))], [(7, " ".join(make(9) + p + p))], [(8, " ".join(p)), (9, "few")]]
+    for parts in (alone[:1], alone[1:3], alone, both, alone + both):
+        whole = spark.sparkContext.parallelize(parts, len(parts)).flatMap(lambda x: x)
+        got = {}
+        for r in sparse_suffix.repeats(spark.createDataFrame(whole, "doc_id long, text string"), many=many).collect():
+            got[r["doc_id"]] = [i for a, b in (map(int, x.split(":")) for x in r["spans"].split(",")) for i in range(a, b)]
+        assert got == repeats_brute([row for part in parts for row in part], 50)
+    empty = sparse_suffix.Suffixes(np.zeros(0, np.uint8), np.zeros(1, np.int64), 50, 8)
+    assert sparse_suffix.around(empty.words, empty.place, empty.near, empty.far, 50, 8).shape == (0, 92, 3)
+
+
 # 7 factorisation machine
 
 
